@@ -254,3 +254,11 @@ FROM E e LEFT JOIN M m ON e.item_idx = m.idx"""),
     "lines_profile_reviews": with_(RAW_LINES, profile_reviews_sql("raw_lines")),
     "lines_item_index": with_(LINES_BASE + ",\n" + item_index_cte("M", "I"), "SELECT value, idx FROM M"),
 }
+
+# The JSON-lines path must reproduce the parquet-view results exactly.
+for _key in ("profile_reviews", "review_missing_fields", "raw_rating_histogram", "metadata_missing_fields",
+             "clean_interactions", "clean_items", "join_coverage"):
+    ORACLE["jsonl_" + _key] = ORACLE[_key]
+
+ORACLE["source_audit_totals"] = """SELECT count(*) AS lines, count(*) AS records, CAST(0 AS BIGINT) AS blank_lines,
+  CAST(0 AS BIGINT) AS malformed_lines, CAST(0 AS BIGINT) AS invalid_files FROM events"""

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from feedloom.operators import clean, explore, index, label, profile, validate
+from feedloom.session import scratch_path
 from feedloom.sources import fixtures as fx
+from feedloom.sources import jsonl
+from feedloom.sources.audit import source_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,6 +203,69 @@ def q_lines_item_index(spark, d):
     return index.fit_index(lines_interactions(spark, d, False), "item_id", INTERACTION_ORDER)
 
 
+# raw JSON-lines path: Spark writes the views as gzip JSONL, then ingests them
+
+def _events_jsonl(spark, d):
+    return fx.write_jsonl(fx.raw_events(spark, d), scratch_path(spark, "events-jsonl"))
+
+
+def _items_jsonl(spark, d):
+    return fx.write_jsonl(fx.raw_items(spark, d), scratch_path(spark, "items-jsonl"))
+
+
+def _ingest(spark, path):
+    return jsonl.ingest_records(spark, path, scratch_path(spark, "ingest"), mode="failfast")
+
+
+def jsonl_reviews(spark, d):
+    return jsonl.review_records(_ingest(spark, _events_jsonl(spark, d)))
+
+
+def jsonl_metadata(spark, d):
+    return jsonl.metadata_records(_ingest(spark, _items_jsonl(spark, d)))
+
+
+def q_jsonl_profile_reviews(spark, d):
+    return profile.profile_reviews(jsonl_reviews(spark, d))
+
+
+def q_jsonl_review_missing_fields(spark, d):
+    return profile.review_missing_fields(jsonl_reviews(spark, d))
+
+
+def q_jsonl_raw_rating_histogram(spark, d):
+    return profile.raw_rating_histogram(jsonl_reviews(spark, d))
+
+
+def q_jsonl_metadata_missing_fields(spark, d):
+    return profile.metadata_missing_fields(jsonl_metadata(spark, d))
+
+
+def q_jsonl_clean_interactions(spark, d):
+    return present(clean.clean_interactions(jsonl_reviews(spark, d)))
+
+
+def q_jsonl_clean_items(spark, d):
+    inter = clean.clean_interactions(jsonl_reviews(spark, d), sort=False)
+    return present(clean.clean_items(jsonl_metadata(spark, d), inter))
+
+
+def q_jsonl_join_coverage(spark, d):
+    return profile.join_coverage(jsonl_reviews(spark, d), jsonl_metadata(spark, d))
+
+
+def q_source_audit(spark, d):
+    return source_audit(spark, _events_jsonl(spark, d))
+
+
+def q_source_audit_totals(spark, d):
+    audit = q_source_audit(spark, d)
+    return audit.agg(
+        F.sum("lines").alias("lines"), F.sum("records").alias("records"),
+        F.sum("blank_lines").alias("blank_lines"), F.sum("malformed_lines").alias("malformed_lines"),
+        F.count_if(~F.col("valid") & (F.col("bytes") > 20)).alias("invalid_files"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_interactions": q_clean_interactions,
     "clean_items": q_clean_items,
@@ -234,4 +300,13 @@ QUERIES: dict[str, Query] = {
     "lines_user_activity_histogram": q_lines_user_activity_histogram,
     "lines_profile_reviews": q_lines_profile_reviews,
     "lines_item_index": q_lines_item_index,
+    "jsonl_profile_reviews": q_jsonl_profile_reviews,
+    "jsonl_review_missing_fields": q_jsonl_review_missing_fields,
+    "jsonl_raw_rating_histogram": q_jsonl_raw_rating_histogram,
+    "jsonl_metadata_missing_fields": q_jsonl_metadata_missing_fields,
+    "jsonl_clean_interactions": q_jsonl_clean_interactions,
+    "jsonl_clean_items": q_jsonl_clean_items,
+    "jsonl_join_coverage": q_jsonl_join_coverage,
+    "source_audit": q_source_audit,
+    "source_audit_totals": q_source_audit_totals,
 }
