@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.predicates import blank_text
-from feedloom.operators.dedup import duplicate_rows
 from feedloom.schemas import EVENT_KEY, INTERACTION_REQUIRED, ITEM_REQUIRED, missing_columns
 
 FINDING_SCHEMA = T.StructType([
@@ -47,16 +46,15 @@ def _isna(df: DataFrame, name: str) -> Column:
     return col.isNull()
 
 
-def _rule_rows(counts: DataFrame, checks: list[str]) -> DataFrame:
-    """Turn a one-row frame of counts into finding rows (seq, ..., affected_rows)."""
-    parts = []
+def _findings_from_counts(counts: DataFrame, checks: list[str]) -> DataFrame:
+    """One-row frame of rule counts -> finding rows, in one projection (``stack``)."""
+    args = []
     for check in checks:
         seq, severity, dataset, message = RULES[check]
-        parts.append(counts.select(
-            F.lit(seq).alias("seq"), F.lit(severity).alias("severity"), F.lit(dataset).alias("dataset"),
-            F.lit(check).alias("check"), F.lit(message).alias("message"),
-            F.col(check).cast("bigint").alias("affected_rows")))
-    return reduce(DataFrame.unionByName, parts)
+        args += [F.lit(seq), F.lit(severity), F.lit(dataset), F.lit(check), F.lit(message),
+                 F.col(check).cast("bigint")]
+    return counts.select(F.stack(F.lit(len(checks)), *args)).toDF(
+        "seq", "severity", "dataset", "check", "message", "affected_rows")
 
 
 def _required_row(spark: SparkSession, seq: int, dataset: str, missing: list[str]) -> DataFrame:
@@ -66,45 +64,92 @@ def _required_row(spark: SparkSession, seq: int, dataset: str, missing: list[str
         "seq int, severity string, dataset string, check string, message string, affected_rows bigint")
 
 
+def _interaction_flags(interactions: DataFrame) -> list[Column]:
+    rating = F.col("rating")
+    any_null = reduce(lambda a, b: a | b, [_isna(interactions, c) for c in sorted(INTERACTION_REQUIRED)])
+    out_of_range = F.coalesce(F.isnan(rating) | ~rating.between(1.0, 5.0), F.lit(True))
+    bad_time = F.coalesce(F.col("timestamp_ms") <= 0, F.lit(False))
+    return [F.count_if(any_null).alias("_nulls"), F.count_if(out_of_range).alias("_bad_rating"),
+            F.count_if(bad_time).alias("_bad_time")]
+
+
+def _per_item_interactions(interactions: DataFrame) -> DataFrame:
+    """Interactions reduced to one row per item, carrying every V2-V5 count.
+
+    Two partial aggregates in a chain: per event key (duplicates collapse
+    map-side, so a hot copy group is one row when it crosses the shuffle), then
+    per item.  ``rows - keys`` per item sums to the duplicate-event count.
+    """
+    per_key = interactions.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("_n"), *_interaction_flags(interactions))
+    return per_key.groupBy("item_id").agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys"),
+        F.sum("_nulls").alias("_nulls"), F.sum("_bad_rating").alias("_bad_rating"),
+        F.sum("_bad_time").alias("_bad_time"))
+
+
+def _per_item_id(items: DataFrame) -> DataFrame:
+    return items.groupBy(F.col("item_id").alias("_t_id")).agg(
+        F.count(F.lit(1)).alias("_t_n"), F.count_if(blank_text(F.col("item_text"))).alias("_t_blank"))
+
+
+def _all_counts(interactions: DataFrame, items: DataFrame) -> DataFrame:
+    """V2-V9 in one job: each table is read once, joined per item (null-safe), summed."""
+    left, right = _per_item_interactions(interactions), _per_item_id(items)
+    joined = left.join(right, left["item_id"].eqNullSafe(right["_t_id"]), "full_outer")
+    zero = F.lit(0)
+    return joined.agg(
+        F.coalesce(F.sum("_nulls"), zero).alias("null_required_values"),
+        F.coalesce(F.sum("_bad_rating"), zero).alias("rating_range"),
+        F.coalesce(F.sum("_bad_time"), zero).alias("timestamp_range"),
+        F.coalesce(F.sum(F.col("_rows") - F.col("_keys")), zero).alias("duplicate_events"),
+        F.coalesce(F.sum(F.when(F.col("_t_n").isNotNull() & F.col("_t_id").isNull(), F.col("_t_n"))), zero)
+        .alias("null_item_ids"),
+        F.coalesce(F.sum(F.col("_t_n") - 1), zero).alias("duplicate_item_ids"),
+        F.coalesce(F.sum("_t_blank"), zero).alias("missing_item_text"),
+        F.coalesce(F.sum(F.when(F.col("_t_n").isNull(), F.col("_rows"))), zero).alias("interaction_item_join"),
+    )
+
+
+INTERACTION_CHECKS = ["null_required_values", "rating_range", "timestamp_range", "duplicate_events"]
+ITEM_CHECKS = ["null_item_ids", "duplicate_item_ids", "missing_item_text"]
+
+
 def validation_findings(interactions: DataFrame, items: DataFrame, ordered: bool = True) -> DataFrame:
-    """Only rules with affected rows (or a missing-column error) appear."""
+    """Only rules with affected rows (or a missing-column error) appear.
+
+    With both contracts present this is a single job (see ``_all_counts``).
+    A table missing required columns gets the V1 error and skips its own
+    rules; the cross-table rule still runs when both sides have ``item_id``.
+    """
     spark = interactions.sparkSession
+    inter_missing = missing_columns(interactions.columns, INTERACTION_REQUIRED)
+    item_missing = missing_columns(items.columns, ITEM_REQUIRED)
     parts: list[DataFrame] = []
-
-    missing = missing_columns(interactions.columns, INTERACTION_REQUIRED)
-    if missing:
-        parts.append(_required_row(spark, 0, "interactions", missing))
-    else:
-        rating = F.col("rating")
-        out_of_range = F.coalesce(F.isnan(rating) | ~rating.between(1.0, 5.0), F.lit(True))
-        agg = interactions.agg(
-            F.count_if(reduce(lambda a, b: a | b,
-                              [_isna(interactions, c) for c in sorted(INTERACTION_REQUIRED)]))
-            .alias("null_required_values"),
-            F.count_if(out_of_range).alias("rating_range"),
-            F.count_if(F.coalesce(F.col("timestamp_ms") <= 0, F.lit(False))).alias("timestamp_range"),
-        )
-        parts.append(_rule_rows(agg, ["null_required_values", "rating_range", "timestamp_range"]))
-        parts.append(_rule_rows(duplicate_rows(interactions, EVENT_KEY, "duplicate_events"),
-                                ["duplicate_events"]))
-
-    missing = missing_columns(items.columns, ITEM_REQUIRED)
-    if missing:
-        parts.append(_required_row(spark, 5, "items", missing))
+    if not inter_missing and not item_missing:
+        parts.append(_findings_from_counts(_all_counts(interactions, items),
+                                           INTERACTION_CHECKS + ITEM_CHECKS + ["interaction_item_join"]))
     else:
-        agg = items.agg(
-            F.count_if(F.col("item_id").isNull()).alias("null_item_ids"),
-            F.count_if(blank_text(F.col("item_text"))).alias("missing_item_text"),
-        )
-        parts.append(_rule_rows(duplicate_rows(items, ["item_id"], "duplicate_item_ids"),
-                                ["duplicate_item_ids"]))
-        parts.append(_rule_rows(agg, ["null_item_ids", "missing_item_text"]))
-
-    if "item_id" in interactions.columns and "item_id" in items.columns:
-        parts.append(_rule_rows(orphan_count(interactions, items), ["interaction_item_join"]))
+        if inter_missing:
+            parts.append(_required_row(spark, 0, "interactions", inter_missing))
+        else:
+            per_item = _per_item_interactions(interactions).agg(
+                F.sum("_nulls").alias("null_required_values"), F.sum("_bad_rating").alias("rating_range"),
+                F.sum("_bad_time").alias("timestamp_range"),
+                F.sum(F.col("_rows") - F.col("_keys")).alias("duplicate_events"))
+            parts.append(_findings_from_counts(per_item, INTERACTION_CHECKS))
+        if item_missing:
+            parts.append(_required_row(spark, 5, "items", item_missing))
+        else:
+            per_id = _per_item_id(items).agg(
+                F.sum(F.when(F.col("_t_id").isNull(), F.col("_t_n"))).alias("null_item_ids"),
+                F.sum(F.col("_t_n") - 1).alias("duplicate_item_ids"),
+                F.sum("_t_blank").alias("missing_item_text"))
+            parts.append(_findings_from_counts(per_id, ITEM_CHECKS))
+        if "item_id" in interactions.columns and "item_id" in items.columns:
+            parts.append(_findings_from_counts(orphan_count(interactions, items), ["interaction_item_join"]))
 
     findings = reduce(DataFrame.unionByName, parts).where(
-        (F.col("affected_rows") > 0) | (F.col("check") == "required_columns"))
+        (F.coalesce(F.col("affected_rows"), F.lit(0)) > 0) | (F.col("check") == "required_columns"))
     if ordered:
         findings = findings.orderBy("seq")
     return findings.drop("seq")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from feedloom.operators import clean, explore, index, label, profile, validate
-from feedloom.session import scratch_path
+from feedloom.session import materialize, scratch_path
 from feedloom.sources import fixtures as fx
 from feedloom.sources import jsonl
 from feedloom.sources.audit import source_audit
@@ -37,28 +37,30 @@ def present(df: DataFrame) -> DataFrame:
 
 
 # --- shared building blocks ------------------------------------------------
+# Queries with one consumer stay lazy.  Where several consumers read the
+# cleaned tables, they are written once (as the build job does) and re-read.
 
 def events_interactions(spark, d, sort=True):
     return clean.clean_interactions(fx.raw_events(spark, d), sort=sort)
 
 
-def events_items(spark, d, sort=True):
-    return clean.clean_items(fx.raw_items(spark, d), events_interactions(spark, d, sort=False), sort=sort)
-
-
 def lines_interactions(spark, d, sort=True):
     return clean.clean_interactions(fx.raw_lines(spark, d), sort=sort)
 
 
-def lines_items(spark, d, sort=True):
-    return clean.clean_items(fx.raw_items(spark, d), lines_interactions(spark, d, sort=False), sort=sort)
+def stored_tables(spark, d, source="events"):
+    raw = fx.raw_events(spark, d) if source == "events" else fx.raw_lines(spark, d)
+    inter = materialize(clean.clean_interactions(raw, sort=False), f"{source}-interactions")
+    items = materialize(clean.clean_items(fx.raw_items(spark, d), inter, sort=False), f"{source}-items")
+    return inter, items
 
 
 INTERACTION_ORDER = ["user_id", "timestamp_ms", "ordinal"]
 
 
 def events_encoders(spark, d):
-    return index.fit_encoders(events_interactions(spark, d, sort=False), INTERACTION_ORDER)
+    inter = materialize(events_interactions(spark, d, sort=False), "events-interactions")
+    return index.fit_encoders(inter, INTERACTION_ORDER)
 
 
 # --- registry ----------------------------------------------------------------
@@ -68,11 +70,12 @@ def q_clean_interactions(spark, d):
 
 
 def q_clean_items(spark, d):
-    return present(events_items(spark, d))
+    inter = events_interactions(spark, d, sort=False)
+    return present(clean.clean_items(fx.raw_items(spark, d), inter))
 
 
 def q_preprocessing_summary(spark, d):
-    return clean.preprocessing_summary(events_interactions(spark, d, False), events_items(spark, d, False))
+    return clean.preprocessing_summary(*stored_tables(spark, d))
 
 
 def q_profile_reviews(spark, d):
@@ -100,7 +103,7 @@ def q_join_coverage(spark, d):
 
 
 def q_validation_findings(spark, d):
-    return validate.validation_findings(events_interactions(spark, d, False), events_items(spark, d, False))
+    return validate.validation_findings(*stored_tables(spark, d))
 
 
 def q_validation_findings_dirty(spark, d):
@@ -112,8 +115,7 @@ def q_validation_report_dirty(spark, d):
 
 
 def q_referential_orphans(spark, d):
-    inter = events_interactions(spark, d, False)
-    return present(validate.referential_orphans(inter, events_items(spark, d, False)))
+    return present(validate.referential_orphans(*stored_tables(spark, d)))
 
 
 def q_label_interactions(spark, d):
@@ -125,7 +127,7 @@ def q_label_summary(spark, d):
 
 
 def q_dataset_summary(spark, d):
-    return explore.dataset_summary(events_interactions(spark, d, False), events_items(spark, d, False))
+    return explore.dataset_summary(*stored_tables(spark, d))
 
 
 def q_rating_counts(spark, d):
@@ -141,7 +143,7 @@ def q_active_period(spark, d):
 
 
 def q_top_items(spark, d):
-    return explore.top_items(events_interactions(spark, d, False), events_items(spark, d, False))
+    return explore.top_items(*stored_tables(spark, d))
 
 
 def q_user_index(spark, d):
@@ -172,11 +174,12 @@ def q_lines_clean_interactions(spark, d):
 
 
 def q_lines_clean_items(spark, d):
-    return present(lines_items(spark, d))
+    inter = lines_interactions(spark, d, sort=False)
+    return present(clean.clean_items(fx.raw_items(spark, d), inter))
 
 
 def q_lines_validation_findings(spark, d):
-    return validate.validation_findings(lines_interactions(spark, d, False), lines_items(spark, d, False))
+    return validate.validation_findings(*stored_tables(spark, d, "lines"))
 
 
 def q_lines_label_summary(spark, d):
@@ -184,11 +187,11 @@ def q_lines_label_summary(spark, d):
 
 
 def q_lines_dataset_summary(spark, d):
-    return explore.dataset_summary(lines_interactions(spark, d, False), lines_items(spark, d, False))
+    return explore.dataset_summary(*stored_tables(spark, d, "lines"))
 
 
 def q_lines_top_items(spark, d):
-    return explore.top_items(lines_interactions(spark, d, False), lines_items(spark, d, False))
+    return explore.top_items(*stored_tables(spark, d, "lines"))
 
 
 def q_lines_user_activity_histogram(spark, d):

@@ -33,6 +33,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FEEDLOOM_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -78,3 +79,16 @@ def _count():
 
 
 _counter = _count()
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where several consumers read one expensive intermediate: the write cuts
+    the lineage (a lost executor re-reads files instead of recomputing the
+    pipeline) and the re-read still prunes columns per consumer.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
