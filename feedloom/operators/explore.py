@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom import messages
 from feedloom.functions.time import utc_date
 from feedloom.operators.scalars import combine_one_row
 
-DEFAULT_TITLE = "Untitled product"  # fixed value shown for a missing title
+DEFAULT_TITLE = messages.DEFAULT_TITLE
 
 
 def _valid_rating(col: F.Column) -> F.Column:

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom import messages
 from feedloom.schemas import missing_columns
 from feedloom.session import checkpoint_dir
 
@@ -52,7 +53,7 @@ def fit_index(df: DataFrame, column: str, order: list[str] | None = None,
               .select("value", F.monotonically_increasing_id().alias("_mid")))
     frozen = placed.checkpoint(eager=True)
     if frozen.where(F.col("value").isNull()).limit(1).count():
-        raise ValueError("Cannot fit an encoder with null identifiers.")
+        raise ValueError(messages.NULL_IDENTIFIERS)
     with_pid = frozen.select(
         "value",
         F.shiftright("_mid", _POS_BITS).alias("_pid"),
@@ -74,7 +75,7 @@ def fit_encoders(training: DataFrame, order: list[str] | None = None) -> tuple[D
     """User and item mappings from the training table only."""
     missing = missing_columns(training.columns, {"user_id", "item_id"})
     if missing:
-        raise ValueError(f"Cannot fit encoders; missing columns: {', '.join(missing)}.")
+        raise ValueError(messages.ENCODER_MISSING_COLUMNS.format(columns=", ".join(missing)))
     if order is None:
         order = [c for c in ("user_id", "timestamp_ms", "ordinal") if c in training.columns]
     return fit_index(training, "user_id", order), fit_index(training, "item_id", order)
@@ -82,7 +83,7 @@ def fit_encoders(training: DataFrame, order: list[str] | None = None) -> tuple[D
 
 def require_fitted(mapping: DataFrame) -> None:
     if not mapping.limit(1).count():
-        raise ValueError("Encoder has not been fitted.")
+        raise ValueError(messages.NOT_FITTED)
 
 
 def apply_index(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:

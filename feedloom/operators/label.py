@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom import messages
 from feedloom.functions.time import utc_date
 from feedloom.schemas import INTERACTION_REQUIRED, ORDINAL, missing_columns
 
@@ -21,7 +22,7 @@ class LabelPolicy:
     def __post_init__(self) -> None:
         t = self.positive_rating_threshold
         if math.isnan(t) or not 1.0 <= t <= 5.0:
-            raise ValueError("positive_rating_threshold must be between 1.0 and 5.0.")
+            raise ValueError(messages.THRESHOLD_RANGE)
 
 
 def positive_flag(df: DataFrame, threshold: float) -> F.Column:
@@ -39,7 +40,7 @@ def label_interactions(interactions: DataFrame, policy: LabelPolicy = LabelPolic
                        sort: bool = True) -> DataFrame:
     missing = missing_columns(interactions.columns, INTERACTION_REQUIRED)
     if missing:
-        raise ValueError(f"Interactions cannot be labeled; missing columns: {', '.join(missing)}.")
+        raise ValueError(messages.LABEL_MISSING_COLUMNS.format(columns=", ".join(missing)))
     labeled = interactions.select(
         "*",
         positive_flag(interactions, policy.positive_rating_threshold).alias("is_positive"),

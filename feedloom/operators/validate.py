@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom import messages
 from feedloom.functions.predicates import blank_text
 from feedloom.schemas import EVENT_KEY, INTERACTION_REQUIRED, ITEM_REQUIRED, missing_columns
 
@@ -25,18 +26,7 @@ FINDING_SCHEMA = T.StructType([
     T.StructField("affected_rows", T.LongType(), False),
 ])
 
-# Fixed values: (seq, severity, dataset, check, message) of every rule.
-RULES = {
-    "null_required_values": (1, "error", "interactions", "Required values are null."),
-    "rating_range": (2, "error", "interactions", "Ratings must be between 1.0 and 5.0."),
-    "timestamp_range": (3, "error", "interactions", "Timestamps must be positive Unix milliseconds."),
-    "duplicate_events": (4, "error", "interactions", "Duplicate user-item-timestamp events are not allowed."),
-    "null_item_ids": (6, "error", "items", "Item IDs cannot be null."),
-    "duplicate_item_ids": (7, "error", "items", "Item IDs must be unique."),
-    "missing_item_text": (8, "warning", "items", "Items without text cannot receive content-based recommendations."),
-    "interaction_item_join": (9, "error", "cross_dataset", "Every interaction item must exist in the item dataset."),
-}
-REQUIRED_COLUMNS_MESSAGE = "Missing required columns: {}."
+RULES = messages.RULES
 
 
 def _isna(df: DataFrame, name: str) -> Column:
@@ -58,7 +48,7 @@ def _findings_from_counts(counts: DataFrame, checks: list[str]) -> DataFrame:
 
 
 def _required_row(spark: SparkSession, seq: int, dataset: str, missing: list[str]) -> DataFrame:
-    msg = REQUIRED_COLUMNS_MESSAGE.format(", ".join(missing))
+    msg = messages.REQUIRED_COLUMNS.format(columns=", ".join(missing))
     return spark.createDataFrame(
         [(seq, "error", dataset, "required_columns", msg, 0)],
         "seq int, severity string, dataset string, check string, message string, affected_rows bigint")
@@ -192,5 +182,5 @@ def gate(findings: DataFrame, report_path: str | None = None) -> DataFrame:
         findings.coalesce(1).write.mode("overwrite").json(report_path)
     report = validation_report(findings).first()
     if not report["is_valid"]:
-        raise ValidationError("Processed data validation failed.")
+        raise ValidationError(messages.VALIDATION_FAILED)
     return findings

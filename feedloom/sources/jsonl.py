@@ -18,6 +18,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom import messages
 from feedloom.functions.text import has_text
 
 
@@ -72,7 +73,7 @@ def read_records(spark: SparkSession, paths: str | list[str], mode: str = "failf
         bad = first_malformed(parsed)
         if bad is not None:
             n = line_number(lines, bad)
-            raise ValueError(f"Invalid JSON at {os.path.basename(bad['file'])}:{n}")
+            raise ValueError(messages.INVALID_JSON.format(file=os.path.basename(bad["file"]), line=n))
     return parsed.where(~F.col("blank") & ~F.col("malformed")).select("ordinal", "line", "v")
 
 
@@ -92,7 +93,7 @@ def ingest_records(spark: SparkSession, paths: str | list[str], out_path: str,
         bad = first_malformed(stored)
         if bad is not None:
             n = line_number(lines, bad)
-            raise ValueError(f"Invalid JSON at {os.path.basename(bad['file'])}:{n}")
+            raise ValueError(messages.INVALID_JSON.format(file=os.path.basename(bad["file"]), line=n))
     return stored.where(~F.col("malformed")).select("ordinal", "line", "v")
 
 
