@@ -173,14 +173,16 @@ class ValidationError(RuntimeError):
 
 
 def gate(findings: DataFrame, report_path: str | None = None) -> DataFrame:
-    """Optionally write the findings, then fail when any error exists.
+    """Optionally write the report, then fail when any error exists.
 
-    The findings table holds at most one row per rule, so the one-row report
-    collected here is bounded.
+    ``report_path`` receives ``summary/`` (is_valid, errors, warnings) and
+    ``issues/`` (the findings).  The findings table holds at most one row per
+    rule, so the one-row report collected here is bounded.
     """
+    report = validation_report(findings)
     if report_path:
-        findings.coalesce(1).write.mode("overwrite").json(report_path)
-    report = validation_report(findings).first()
-    if not report["is_valid"]:
+        findings.coalesce(1).write.mode("overwrite").json(f"{report_path}/issues")
+        report.coalesce(1).write.mode("overwrite").json(f"{report_path}/summary")
+    if not report.first()["is_valid"]:
         raise ValidationError(messages.VALIDATION_FAILED)
     return findings

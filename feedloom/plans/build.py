@@ -51,13 +51,22 @@ def gate_and_label(spark: SparkSession, interactions_path: str, items_path: str,
                "interactions": total, "positive_interactions": positives,
                "negative_or_neutral_interactions": total - positives,
                "positive_interaction_rate": round(positives / total, 6) if total else 0.0}
+    row = ((policy.positive_rating_threshold,), total, positives, total - positives,
+           summary["positive_interaction_rate"])
+    sinks.write_summary(
+        spark.createDataFrame([row], "policy struct<positive_rating_threshold: double>, interactions bigint, "
+                                     "positive_interactions bigint, negative_or_neutral_interactions bigint, "
+                                     "positive_interaction_rate double"),
+        f"{out}/interaction_label_summary.json")
     return summary
 
 
-def profile_sources(spark: SparkSession, reviews, metadata, mode: str = "failfast") -> dict[str, DataFrame]:
+def profile_sources(spark: SparkSession, reviews, metadata, mode: str = "failfast",
+                    out_dir: str | None = None) -> dict[str, DataFrame]:
+    """Profiles as small frames; with ``out_dir`` each is also written as JSON."""
     r = jsonl.review_records(jsonl.read_records(spark, reviews, mode))
     m = jsonl.metadata_records(jsonl.read_records(spark, metadata, mode))
-    return {
+    frames = {
         "reviews": profile.profile_reviews(r),
         "missing_required_fields": profile.review_missing_fields(r),
         "rating_distribution": profile.raw_rating_histogram(r),
@@ -65,6 +74,10 @@ def profile_sources(spark: SparkSession, reviews, metadata, mode: str = "failfas
         "missing_content_fields": profile.metadata_missing_fields(m),
         "join_coverage": profile.join_coverage(r, m),
     }
+    if out_dir:
+        for name, frame in frames.items():
+            sinks.write_summary(frame, f"{out_dir.rstrip('/')}/raw_data_inspection/{name}")
+    return frames
 
 
 def explore(interactions: DataFrame, items: DataFrame, top_k: int = 5) -> dict[str, DataFrame]:

@@ -34,6 +34,8 @@ def test_build_gate_label_explore_encode(spark, tmp_path, write_jsonl_gz):
     labels = gate_and_label(spark, f"{out}/interactions.parquet", f"{out}/items.parquet", out)
     assert labels["interactions"] == 3 and labels["positive_interactions"] == 2
     assert labels["positive_interaction_rate"] == round(2 / 3, 6)
+    written = spark.read.json(f"{out}/interaction_label_summary.json").first()
+    assert written.policy.positive_rating_threshold == 4.0 and written.positive_interactions == 2
     eda = explore(inter, spark.read.parquet(f"{out}/items.parquet"))
     assert eda["summary"].first().users == 2
     assert [r.item_id for r in eda["top_items"].collect()] == ["b", "a"]
@@ -49,13 +51,16 @@ def test_gate_fails_on_invalid_tables(spark, tmp_path):
     spark.createDataFrame([("a", "t")], "item_id string, item_text string").write.parquet(str(tmp_path / "t"))
     with pytest.raises(ValidationError):
         gate_and_label(spark, str(tmp_path / "i"), str(tmp_path / "t"), str(tmp_path / "o"))
-    report = spark.read.json(str(tmp_path / "o" / "validation_report.json")).collect()
+    report = spark.read.json(str(tmp_path / "o" / "validation_report.json" / "issues")).collect()
     assert [r.check for r in report] == ["rating_range"]
+    summary = spark.read.json(str(tmp_path / "o" / "validation_report.json" / "summary")).first()
+    assert (summary.is_valid, summary.errors, summary.warnings) == (False, 1, 0)
 
 
-def test_profile_sources(spark, write_jsonl_gz):
+def test_profile_sources(spark, tmp_path, write_jsonl_gz):
     reviews, meta = _raw(write_jsonl_gz)
-    p = profile_sources(spark, reviews, meta)
+    p = profile_sources(spark, reviews, meta, out_dir=str(tmp_path / "prof"))
+    assert spark.read.json(str(tmp_path / "prof" / "raw_data_inspection" / "reviews")).first().records == 4
     assert p["reviews"].first().exact_duplicate_events == 1
     assert p["join_coverage"].first().reviewed_item_metadata_coverage == 1.0
 

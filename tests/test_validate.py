@@ -67,4 +67,4 @@ def test_gate_raises_after_writing(spark, tmp_path):
     f = validation_findings(inter, _items(spark, [("a", "t")]))
     with pytest.raises(ValidationError):
         gate(f, str(tmp_path / "report"))
-    assert spark.read.json(str(tmp_path / "report")).count() == 1
+    assert spark.read.json(str(tmp_path / "report" / "issues")).count() == 1
