@@ -1,9 +1,12 @@
 """Contract validation (V1-V11) as one findings table.
 
-Rule texts, severities and check names are fixed values of the contract.
-Scans are shared: one aggregate answers V2-V4, one answers V6 and V8; V5, V7
-and V9 are one keyed aggregate each.  V9 pre-aggregates interactions per item
-before the anti join, so a hot item is one row when it crosses the shuffle.
+Rule texts, severities and check names are fixed values (``feedloom.messages``).
+With both tables complete, every rule count comes from one job that reads each
+table once: interactions reduce per event key and then per item (partial
+aggregates, so a hot key or copy group is one row when it crosses a shuffle),
+items reduce per id, the two meet in a null-safe full outer join per item, and
+one global aggregate yields all eight counts.  ``FINDING_SCHEMA`` is the
+output contract.
 """
 
 from __future__ import annotations
