@@ -13,8 +13,16 @@ from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """First row per key in ``order``.
+
+    The window's partition key is led by ``xxhash64(keys)``: grouping is
+    unchanged, but both sorts (map-side partial limit and reduce-side window)
+    then settle almost every comparison on an 8-byte prefix instead of
+    comparing strings.
+    """
+    w = Window.partitionBy(F.col("_h"), *keys).orderBy(*order)
+    ranked = df.withColumn("_h", F.xxhash64(*keys)).withColumn("_rn", F.row_number().over(w))
+    return ranked.where(F.col("_rn") == 1).drop("_rn", "_h")
 
 
 def duplicate_rows(df: DataFrame, keys: list[str | Column], alias: str = "duplicates") -> DataFrame:
