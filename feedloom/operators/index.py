@@ -47,9 +47,11 @@ def fit_index(df: DataFrame, column: str, order: list[str] | None = None,
     spark = df.sparkSession
     checkpoint_dir(spark)
     firsts, sort_key = _first_positions(df, column, list(order or []))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (firsts.repartitionByRange(n, *sort_key)
-              .sortWithinPartitions(*sort_key)
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges neighbours, so partition order still follows the sort key.
+    ranged = (firsts.repartitionByRange(partitions, *sort_key) if partitions
+              else firsts.repartitionByRange(*sort_key))
+    placed = (ranged.sortWithinPartitions(*sort_key)
               .select("value", F.monotonically_increasing_id().alias("_mid")))
     frozen = placed.checkpoint(eager=True)
     if frozen.where(F.col("value").isNull()).limit(1).count():
