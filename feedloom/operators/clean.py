@@ -16,18 +16,48 @@ from feedloom.operators.scalars import combine_one_row
 from feedloom.schemas import EVENT_KEY, INTERACTION_COLUMNS, ITEM_COLUMNS, ORDINAL
 
 
-def typed(df: DataFrame, name: str, dtype: str | DataType) -> Column:
+def typed(df: DataFrame, name: str, dtype: str | DataType, safe: bool = False) -> Column:
     """ANSI cast of a field (raises on bad text, as the contract cast does).
 
     VARIANT fields go through ``variant_get``; a missing field is a typed null.
+    ``safe=True`` gives null instead of raising (for quarantine checks).
     """
     if name not in df.columns:
         return F.lit(None).cast(dtype)
     col = F.col(name)
+    target = dtype if isinstance(dtype, str) else dtype.simpleString()
     if isinstance(df.schema[name].dataType, VariantType):
-        target = dtype if isinstance(dtype, str) else dtype.simpleString()
-        return F.variant_get(col, "$", target)
-    return col.cast(dtype)
+        return (F.try_variant_get if safe else F.variant_get)(col, "$", target)
+    return F.try_cast(col, target) if safe else col.cast(dtype)
+
+
+REVIEW_CASTS = {"rating": "float", "timestamp": "bigint", "verified_purchase": "boolean",
+                "helpful_vote": "int", "helpful_votes": "int"}
+ITEM_CASTS = {"price": "float", "average_rating": "float", "rating_number": "int"}
+
+
+def _failed_fields(df: DataFrame, casts: dict[str, str]) -> Column:
+    present = [c for c in casts if c in df.columns]
+    failed = [F.when(F.col(c).isNotNull() & typed(df, c, casts[c], safe=True).isNull(), F.lit(c))
+              for c in present]
+    if not failed:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*failed), lambda x: x.isNotNull())
+
+
+def _cast_failures(df: DataFrame, casts: dict[str, str]) -> DataFrame:
+    flagged = df.withColumn("failed_fields", _failed_fields(df, casts))
+    return flagged.where(F.size("failed_fields") > 0)
+
+
+def cast_failures(records: DataFrame) -> DataFrame:
+    """P3 quarantine: review records whose contract casts would fail, with the field names."""
+    return _cast_failures(records, REVIEW_CASTS)
+
+
+def item_cast_failures(metadata: DataFrame) -> DataFrame:
+    """P4 quarantine: metadata records whose numeric casts would fail."""
+    return _cast_failures(metadata, ITEM_CASTS)
 
 
 def _helpful_votes(records: DataFrame) -> Column:
@@ -50,7 +80,7 @@ def project_reviews(records: DataFrame) -> DataFrame:
     )
 
 
-def clean_interactions(records: DataFrame, sort: bool = True) -> DataFrame:
+def clean_interactions(records: DataFrame, sort: bool = True, on_cast_error: str = "raise") -> DataFrame:
     """Select, drop incomplete, cast, keep-first dedup, derive event time, order.
 
     Output: the seven contract columns plus ``ordinal`` (kept so downstream
@@ -58,7 +88,15 @@ def clean_interactions(records: DataFrame, sort: bool = True) -> DataFrame:
     Two shuffles: the dedup hash exchange (hot copies pre-limited map-side) and
     the range exchange of the final sort (whose sampled bounds split a hot user
     across tasks because the ordinal breaks ties).
+
+    ``on_cast_error="raise"`` (default) fails the job on a value the contract
+    cannot cast, as the contract demands; ``"skip"`` leaves such rows out -
+    they are exactly the rows of ``cast_failures(records)``, the quarantine.
     """
+    if on_cast_error not in ("raise", "skip"):
+        raise ValueError("on_cast_error must be 'raise' or 'skip'")
+    if on_cast_error == "skip":
+        records = records.where(F.size(_failed_fields(records, REVIEW_CASTS)) == 0)
     p = project_reviews(records)
     rating_raw = p.schema["_rating_raw"].dataType
     rating_num = (F.variant_get(F.col("_rating_raw"), "$", "double")

@@ -78,3 +78,20 @@ def test_failfast_line_number_across_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_cast_quarantine_lists_bad_rows_and_skip_mode_leaves_them_out(spark, write_jsonl_gz):
+    from feedloom.operators.clean import cast_failures, item_cast_failures
+    path = write_jsonl_gz("r.jsonl.gz", [
+        {"user_id": "u", "parent_asin": "a", "rating": "abc", "timestamp": 1},
+        {"user_id": "u", "parent_asin": "b", "rating": 4, "timestamp": "later"},
+        {"user_id": "u", "parent_asin": "c", "rating": "5", "timestamp": 3},
+    ])
+    records = review_records(read_records(spark, path))
+    bad = sorted((r.parent_asin, tuple(r.failed_fields)) for r in cast_failures(records).collect())
+    assert bad == [("a", ("rating",)), ("b", ("timestamp",))]
+    rows = clean_interactions(records, on_cast_error="skip").collect()
+    assert [(r.item_id, r.rating) for r in rows] == [("c", 5.0)]
+    meta = metadata_records(read_records(spark, write_jsonl_gz("m.jsonl.gz", [
+        {"parent_asin": "a", "price": "n/a"}, {"parent_asin": "b", "price": 2.5}])))
+    assert [r.parent_asin for r in item_cast_failures(meta).collect()] == ["a"]
