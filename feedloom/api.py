@@ -6,7 +6,8 @@ DataFrames (or writes tables) instead of in-memory pandas objects.
 
 from feedloom.functions.text import item_text, join_text, normalise_ws as normalised_text
 from feedloom.functions.time import iso_utc_from_ms as timestamp_to_iso
-from feedloom.operators.clean import clean_interactions, clean_items, preprocessing_summary
+from feedloom.operators.clean import (cast_failures, clean_interactions, clean_items, item_cast_failures,
+                                      preprocessing_summary)
 from feedloom.operators.explore import (active_period, dataset_summary, rating_counts, round_summary, top_items,
                                         user_activity_histogram as activity_histogram)
 from feedloom.operators.index import (UNKNOWN_INDEX, apply_index, encode_interactions, fit_encoders, fit_index,

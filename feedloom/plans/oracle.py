@@ -239,6 +239,10 @@ WHERE rating IS NOT NULL AND NOT isnan(rating) GROUP BY rating"""),
     "active_period": with_(EVENTS_BASE, """SELECT CAST(CAST(min(event_time) AS DATE) AS VARCHAR) AS active_start,
   CAST(CAST(max(event_time) AS DATE) AS VARCHAR) AS active_end FROM I"""),
     "top_items": with_(EVENTS_BASE, TOP_ITEMS),
+    "user_activity": with_(EVENTS_BASE, "SELECT user_id, count(*) AS interactions FROM I GROUP BY user_id"),
+    "item_popularity": with_(EVENTS_BASE, "SELECT item_id, count(*) AS interactions FROM I GROUP BY item_id"),
+    "reviewed_item_ids": with_(EVENTS_BASE, "SELECT DISTINCT item_id FROM I"),
+    "index_sizes": with_(EVENTS_BASE, "SELECT count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items FROM I"),
     "user_index": with_(EVENTS_BASE + ",\n" + USER_INDEX, "SELECT value, idx FROM U"),
     "item_index": with_(EVENTS_BASE + ",\n" + item_index_cte("M", "I"), "SELECT value, idx FROM M"),
     "encode_holdout": with_(ENCODE_BASE, "SELECT * FROM E"),
@@ -247,6 +251,7 @@ FROM E e LEFT JOIN M m ON e.item_idx = m.idx"""),
     "lines_clean_interactions": with_(LINES_BASE, f"SELECT {INTERACTION_OUT} FROM I"),
     "lines_clean_items": with_(LINES_BASE, f"SELECT {ITEM_OUT} FROM T"),
     "lines_validation_findings": with_(LINES_BASE + ",\n" + findings_sql("I", "T"), FINDINGS_OUT),
+    "lines_label_interactions": with_(LINES_BASE + ",\n" + label_cte("I"), "SELECT * FROM L"),
     "lines_label_summary": with_(LINES_BASE + ",\n" + label_cte("I"), LABEL_SUMMARY),
     "lines_dataset_summary": with_(LINES_BASE, DATASET_SUMMARY),
     "lines_top_items": with_(LINES_BASE, TOP_ITEMS),

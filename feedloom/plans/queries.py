@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from feedloom.operators import clean, explore, index, label, profile, validate
+from feedloom.operators.scalars import combine_one_row
 from feedloom.session import materialize, scratch_path
 from feedloom.sources import fixtures as fx
 from feedloom.sources import jsonl
@@ -167,6 +168,24 @@ def q_decode_indices(spark, d):
     return index.invert_index(encoded.select("item_idx"), items, "item_idx", "decoded_item_id")
 
 
+def q_user_activity(spark, d):
+    return explore.user_activity(events_interactions(spark, d, False))
+
+
+def q_item_popularity(spark, d):
+    return explore.item_popularity(events_interactions(spark, d, False))
+
+
+def q_reviewed_item_ids(spark, d):
+    return clean.reviewed_item_ids(events_interactions(spark, d, False))
+
+
+def q_index_sizes(spark, d):
+    users, items = events_encoders(spark, d)
+    return combine_one_row(index.index_size(users).withColumnRenamed("size", "users"),
+                           index.index_size(items).withColumnRenamed("size", "items"))
+
+
 # bench-size variants over lineitem x orders
 
 def q_lines_clean_interactions(spark, d):
@@ -182,6 +201,10 @@ def q_lines_validation_findings(spark, d):
     return validate.validation_findings(*stored_tables(spark, d, "lines"))
 
 
+def q_lines_label_interactions(spark, d):
+    return present(label.label_interactions(lines_interactions(spark, d, False)))
+
+
 def q_lines_label_summary(spark, d):
     return label.label_summary(label.label_interactions(lines_interactions(spark, d, False), sort=False))
 
@@ -290,6 +313,10 @@ QUERIES: dict[str, Query] = {
     "user_activity_histogram": q_user_activity_histogram,
     "active_period": q_active_period,
     "top_items": q_top_items,
+    "user_activity": q_user_activity,
+    "item_popularity": q_item_popularity,
+    "reviewed_item_ids": q_reviewed_item_ids,
+    "index_sizes": q_index_sizes,
     "user_index": q_user_index,
     "item_index": q_item_index,
     "encode_holdout": q_encode_holdout,
@@ -297,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "lines_clean_interactions": q_lines_clean_interactions,
     "lines_clean_items": q_lines_clean_items,
     "lines_validation_findings": q_lines_validation_findings,
+    "lines_label_interactions": q_lines_label_interactions,
     "lines_label_summary": q_lines_label_summary,
     "lines_dataset_summary": q_lines_dataset_summary,
     "lines_top_items": q_lines_top_items,

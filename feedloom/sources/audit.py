@@ -24,6 +24,8 @@ def source_audit(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("lines"),
         F.count_if("blank").alias("blank_lines"),
         F.count_if("malformed").alias("malformed_lines"),
+        # The text reader passes undecodable bytes through; check them here.
+        F.count_if(~F.is_valid_utf8("line")).alias("invalid_utf8_lines"),
         F.count_if(~F.col("blank") & ~F.col("malformed")).alias("records"),
         F.min_by("blank", "ordinal").alias("first_line_blank"),
     )
@@ -31,6 +33,7 @@ def source_audit(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     lines = F.coalesce(F.col("lines"), F.lit(0))
     status = (F.when((F.col("bytes") > 0) & F.col("lines").isNull(), F.lit("unreadable_or_empty"))
               .when(lines == 0, F.lit("empty"))
+              .when(F.col("invalid_utf8_lines") > 0, F.lit("invalid_utf8"))
               .when(F.col("first_line_blank"), F.lit("first_line_blank"))
               .otherwise(F.lit("ok")))
     return audit.select(
@@ -39,6 +42,7 @@ def source_audit(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.coalesce("records", F.lit(0)).alias("records"),
         F.coalesce("blank_lines", F.lit(0)).alias("blank_lines"),
         F.coalesce("malformed_lines", F.lit(0)).alias("malformed_lines"),
+        F.coalesce("invalid_utf8_lines", F.lit(0)).alias("invalid_utf8_lines"),
         status.alias("status"),
         (status == "ok").alias("valid"),
     )

@@ -38,3 +38,11 @@ def test_ingest_persists_once_and_keeps_order(spark, tmp_path, write_jsonl_gz):
 def test_unicode_blank_lines_are_skipped(spark, write_jsonl_gz):
     path = write_jsonl_gz("u.jsonl.gz", ["　 ", " ", '{"a": 1}'])
     assert read_records(spark, path).count() == 1
+
+
+def test_audit_flags_undecodable_bytes(spark, tmp_path):
+    path = tmp_path / "latin.jsonl.gz"
+    with gzip.open(path, "wb") as f:
+        f.write(b'{"title": "caf\xe9"}\n')
+    row = source_audit(spark, str(path)).first()
+    assert row.invalid_utf8_lines == 1 and row.status == "invalid_utf8" and not row.valid
