@@ -30,7 +30,10 @@ def _append_batch(table_path: str):
             ).alias("ordinal"),
         )
         parsed = parse_lines(lines).where(~F.col("blank")).select("ordinal", "line", "v", "malformed")
-        parsed.write.mode("append").partitionBy("malformed").parquet(table_path)
+        # Each micro-batch owns one partition folder and overwrites it, so a
+        # batch replayed after a failure replaces its own output instead of
+        # appending a second copy (the sink is idempotent per batch id).
+        parsed.write.mode("overwrite").partitionBy("malformed").parquet(f"{table_path}/batch={batch_id}")
     return write
 
 
@@ -48,5 +51,6 @@ def start_raw_ingest(spark: SparkSession, landing_dir: str, table_path: str, che
 
 def read_ingested(spark: SparkSession, table_path: str) -> DataFrame:
     """Good records of the ingested table (``ordinal``, ``line``, ``v``)."""
-    stored = spark.read.parquet(table_path).withColumn("malformed", F.col("malformed").cast("boolean"))
+    stored = (spark.read.option("basePath", table_path).parquet(table_path)
+              .withColumn("malformed", F.col("malformed").cast("boolean")))
     return stored.where(~F.col("malformed")).select("ordinal", "line", "v")
