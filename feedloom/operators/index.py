@@ -88,15 +88,27 @@ def require_fitted(mapping: DataFrame) -> None:
         raise ValueError(messages.NOT_FITTED)
 
 
+def _spread(cannot_match: Column) -> Column:
+    """Salt for rows that can never match: their map partition id, else 0.
+
+    A null id (or a -1 index) may be a third of a table; hashed alone it would
+    land on one reducer of a sort-merge join.  Salting only those rows spreads
+    them as evenly as the input is spread, and they still match nothing.
+    """
+    return F.when(cannot_match, F.spark_partition_id() + 1).otherwise(F.lit(0))
+
+
 def apply_index(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:
     """Add ``out`` = index of ``column``; unseen (and null) ids get -1.
 
     A left join keeps every row.  The planner broadcasts the mapping only when
     its measured size is under the threshold; otherwise it is a sort-merge
-    join whose skewed partitions AQE splits.
+    join in which AQE splits skewed partitions of a hot *known* id, and null
+    ids (which match nothing) are salted across reducers.
     """
-    m = mapping.select(F.col("value").alias(column), F.col("idx").alias(out))
-    joined = df.join(m, on=column, how="left")
+    left = df.withColumn("_salt", _spread(F.col(column).isNull()))
+    m = mapping.select(F.col("value").alias(column), F.col("idx").alias(out), F.lit(0).alias("_salt"))
+    joined = left.join(m, on=[column, "_salt"], how="left")
     cols = [F.coalesce(F.col(out), F.lit(UNKNOWN_INDEX)).cast("int").alias(out) if c == out else F.col(c)
             for c in df.columns + [out]]
     return joined.select(*cols)
@@ -111,9 +123,15 @@ def encode_interactions(df: DataFrame, users: DataFrame, items: DataFrame, check
 
 
 def invert_index(df: DataFrame, mapping: DataFrame, idx_column: str, out: str) -> DataFrame:
-    """Index -> id; -1 and unknown indices give null."""
-    m = mapping.select(F.col("idx").alias(idx_column), F.col("value").alias(out))
-    return df.join(m, on=idx_column, how="left").select(*df.columns, out)
+    """Index -> id; -1 and unknown indices give null.
+
+    Negative and null indices match nothing, so they are salted across
+    reducers (a cold-start-heavy split can make -1 a third of the rows).
+    """
+    idx = F.col(idx_column)
+    left = df.withColumn("_salt", _spread(idx.isNull() | (idx < 0)))
+    m = mapping.select(F.col("idx").alias(idx_column), F.col("value").alias(out), F.lit(0).alias("_salt"))
+    return left.join(m, on=[idx_column, "_salt"], how="left").select(*df.columns, out)
 
 
 def index_size(mapping: DataFrame) -> DataFrame:

@@ -68,3 +68,21 @@ def test_item_keep_first_is_partition_independent(spark, parts):
     reviews = spark.createDataFrame([("i0",), ("i1",), ("i2",), ("i3",)], "item_id string")
     got = [(r.item_id, r.title) for r in clean_items(meta, reviews).collect()]
     assert got == [("i0", "title 0"), ("i1", "title 1"), ("i2", "title 2"), ("i3", "title 3")]
+
+
+def test_hot_unknown_lookups_are_salted_and_still_unmatched(spark):
+    from feedloom.operators.index import apply_index, fit_index, invert_index
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mapping = fit_index(spark.createDataFrame([(0, "a"), (1, "b")], "ordinal long, v string"), "v", ["ordinal"])
+        df = spark.range(4000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("a")).otherwise(F.lit(None)).alias("v")).repartition(8)
+        enc = apply_index(df, mapping, "v", "i")
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        got = {(r.v, r.i): r.n for r in enc.groupBy("v", "i").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert got == {("a", 0): 1334, (None, -1): 2666}
+        dec = invert_index(enc, mapping, "i", "back")
+        assert dec.where("back is null").count() == 2666 and dec.where("back = 'a'").count() == 1334
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
