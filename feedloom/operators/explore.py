@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from feedloom import messages
 from feedloom.functions.time import utc_date
 from feedloom.operators.scalars import combine_one_row
+from feedloom.session import checkpoint_dir
 
 DEFAULT_TITLE = messages.DEFAULT_TITLE
 
@@ -95,11 +96,15 @@ def top_items(interactions: DataFrame, items: DataFrame, k: int = 5) -> DataFram
     """O4 + J5 + F13: the k most-interacted items (ties by item id) with titles.
 
     The limit runs before any join (``TakeOrderedAndProject`` keeps k rows per
-    task).  The k ids are broadcast (size bounded by ``k``) into a semi join
-    that streams the item table once, so items are never shuffled or
-    broadcast however large they grow; the final left join is k x k rows.
+    task), and the k-row result is checkpointed once so the aggregation over
+    all interactions runs a single time.  The k ids are broadcast (size
+    bounded by ``k``) into a semi join that streams the item table once, so
+    items are never shuffled or broadcast however large they grow; the final
+    left join is k x k rows.
     """
-    top = item_popularity(interactions).orderBy(F.desc("interactions"), F.asc("item_id")).limit(k)
+    checkpoint_dir(interactions.sparkSession)
+    top = (item_popularity(interactions).orderBy(F.desc("interactions"), F.asc("item_id")).limit(k)
+           .checkpoint(eager=True))
     titles = items.select("item_id", "title").join(F.broadcast(top.select("item_id")), "item_id", "left_semi")
     joined = top.join(titles, on="item_id", how="left")
     return joined.select(
