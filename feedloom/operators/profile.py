@@ -82,14 +82,17 @@ def metadata_missing_fields(metadata: DataFrame) -> DataFrame:
 
 
 def join_coverage(records: DataFrame, metadata: DataFrame) -> DataFrame:
-    """A9 + X1: reviewed ids that have metadata, and their share (0.0 when none)."""
+    """A9 + X1: reviewed ids that have metadata, and their share (0.0 when none).
+
+    One pass: the distinct reviewed ids are left-joined to the flagged distinct
+    listed ids (both sides are sets, so no key is hot) and a single aggregate
+    counts both the reviewed and the matched ids.
+    """
     reviewed = _truthy_ids(records, "parent_asin")
-    listed = _truthy_ids(metadata, "parent_asin")
-    matched = reviewed.join(listed, on="id", how="left_semi")
-    row = combine_one_row(
-        _count_rows(reviewed, "_reviewed"),
-        _count_rows(matched, "reviewed_items_with_metadata"),
-    )
+    listed = _truthy_ids(metadata, "parent_asin").select("id", F.lit(True).alias("_listed"))
+    row = reviewed.join(listed, on="id", how="left").agg(
+        F.count(F.lit(1)).alias("_reviewed"),
+        F.count_if(F.col("_listed")).alias("reviewed_items_with_metadata"))
     return row.select(
         "reviewed_items_with_metadata",
         F.when(F.col("_reviewed") == 0, F.lit(0.0))

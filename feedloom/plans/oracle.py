@@ -197,6 +197,8 @@ ORACLE: dict[str, str] = {
     "preprocessing_summary": with_(EVENTS_BASE, """SELECT (SELECT count(*) FROM I) AS interactions,
   (SELECT count(*) FROM T) AS items,
   (SELECT count(*) FILTER (WHERE length(item_text) = 0) FROM T) AS items_without_text"""),
+    "items_without_text": with_(EVENTS_BASE, """SELECT count(*) FILTER (WHERE length(item_text) = 0)
+  AS items_without_text FROM T"""),
     "profile_reviews": with_(RAW_EVENTS, profile_reviews_sql("raw_events")),
     "review_missing_fields": with_(RAW_EVENTS, """SELECT field, missing FROM (
   SELECT 'parent_asin' AS field, count(*) FILTER (WHERE parent_asin IS NULL OR parent_asin = '') AS missing FROM raw_events

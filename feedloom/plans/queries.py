@@ -79,6 +79,11 @@ def q_preprocessing_summary(spark, d):
     return clean.preprocessing_summary(*stored_tables(spark, d))
 
 
+def q_items_without_text(spark, d):
+    items = clean.clean_items(fx.raw_items(spark, d), events_interactions(spark, d, False), sort=False)
+    return items.agg(F.count_if(F.length("item_text") == 0).alias("items_without_text"))
+
+
 def q_profile_reviews(spark, d):
     return profile.profile_reviews(fx.raw_events(spark, d))
 
@@ -296,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "clean_interactions": q_clean_interactions,
     "clean_items": q_clean_items,
     "preprocessing_summary": q_preprocessing_summary,
+    "items_without_text": q_items_without_text,
     "profile_reviews": q_profile_reviews,
     "review_missing_fields": q_review_missing_fields,
     "raw_rating_histogram": q_raw_rating_histogram,
