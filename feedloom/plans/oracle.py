@@ -267,5 +267,9 @@ for _key in ("profile_reviews", "review_missing_fields", "raw_rating_histogram",
              "clean_interactions", "clean_items", "join_coverage"):
     ORACLE["jsonl_" + _key] = ORACLE[_key]
 
+# The streaming ingest must reproduce the batch results exactly, too.
+ORACLE["stream_profile_reviews"] = ORACLE["profile_reviews"]
+ORACLE["stream_clean_interactions"] = ORACLE["clean_interactions"]
+
 ORACLE["source_audit_totals"] = """SELECT count(*) AS lines, count(*) AS records, CAST(0 AS BIGINT) AS blank_lines,
   CAST(0 AS BIGINT) AS malformed_lines, CAST(0 AS BIGINT) AS invalid_files FROM events"""

@@ -19,6 +19,7 @@ from feedloom.session import materialize, scratch_path
 from feedloom.sources import fixtures as fx
 from feedloom.sources import jsonl
 from feedloom.sources.audit import source_audit
+from feedloom.streaming.ingest import read_ingested, start_raw_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,6 +286,22 @@ def q_jsonl_join_coverage(spark, d):
     return profile.join_coverage(jsonl_reviews(spark, d), jsonl_metadata(spark, d))
 
 
+def stream_reviews(spark, d):
+    """Review records that went through the incremental (streaming) ingest."""
+    landing = _events_jsonl(spark, d)
+    table = scratch_path(spark, "stream-table")
+    start_raw_ingest(spark, landing, table, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return jsonl.review_records(read_ingested(spark, table))
+
+
+def q_stream_profile_reviews(spark, d):
+    return profile.profile_reviews(stream_reviews(spark, d))
+
+
+def q_stream_clean_interactions(spark, d):
+    return present(clean.clean_interactions(stream_reviews(spark, d)))
+
+
 def q_source_audit(spark, d):
     return source_audit(spark, _events_jsonl(spark, d))
 
@@ -344,6 +361,8 @@ QUERIES: dict[str, Query] = {
     "jsonl_clean_interactions": q_jsonl_clean_interactions,
     "jsonl_clean_items": q_jsonl_clean_items,
     "jsonl_join_coverage": q_jsonl_join_coverage,
+    "stream_profile_reviews": q_stream_profile_reviews,
+    "stream_clean_interactions": q_stream_clean_interactions,
     "source_audit": q_source_audit,
     "source_audit_totals": q_source_audit_totals,
 }
