@@ -22,12 +22,19 @@ from feedloom.operators import clean, explore as eda, index, label, profile, val
 from feedloom.sources import jsonl, sinks
 
 
-def build_tables(spark: SparkSession, reviews, metadata, out_dir: str, mode: str = "failfast") -> dict:
+def build_tables(spark: SparkSession, reviews, metadata, out_dir: str, mode: str = "failfast",
+                 on_cast_error: str = "raise") -> dict:
+    """3.1.  ``mode`` governs malformed JSON lines, ``on_cast_error`` values the
+    contract cannot cast; with ``"skip"`` those rows are written to
+    ``_quarantine/cast_failures`` instead of failing the job."""
     out = out_dir.rstrip("/")
     review_rec = jsonl.review_records(jsonl.ingest_records(spark, reviews, f"{out}/_parsed/reviews", mode))
     meta_rec = jsonl.metadata_records(jsonl.ingest_records(spark, metadata, f"{out}/_parsed/metadata", mode))
     inter_path = f"{out}/interactions.parquet"
-    counts_i = sinks.write_observed(clean.clean_interactions(review_rec), inter_path, "interactions")
+    if on_cast_error == "skip":
+        clean.cast_failures(review_rec).write.mode("overwrite").parquet(f"{out}/_quarantine/cast_failures")
+    counts_i = sinks.write_observed(clean.clean_interactions(review_rec, on_cast_error=on_cast_error),
+                                    inter_path, "interactions")
     stored = spark.read.parquet(inter_path)
     items = clean.clean_items(meta_rec, stored)
     counts_t = sinks.write_observed(items, f"{out}/items.parquet", "items",

@@ -100,3 +100,18 @@ def test_streaming_batch_replay_is_idempotent(spark, tmp_path):
     write(batch, 0)
     write(batch, 0)  # replay of the same micro-batch
     assert read_ingested(spark, str(tmp_path / "t")).count() == 1
+
+
+def test_build_can_quarantine_uncastable_rows(spark, tmp_path, write_jsonl_gz):
+    reviews = write_jsonl_gz("r.jsonl.gz", [
+        {"user_id": "u", "parent_asin": "a", "rating": "five", "timestamp": 1},
+        {"user_id": "u", "parent_asin": "a", "rating": 5, "timestamp": 2},
+    ])
+    meta = write_jsonl_gz("m.jsonl.gz", [{"parent_asin": "a", "title": "A"}])
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception):
+        build_tables(spark, reviews, meta, str(tmp_path / "strict"))
+    summary = build_tables(spark, reviews, meta, out, on_cast_error="skip")
+    assert summary["interactions"] == 1
+    bad = spark.read.parquet(f"{out}/_quarantine/cast_failures").collect()
+    assert [tuple(r.failed_fields) for r in bad] == [("rating",)]
