@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.predicates import falsy, missing_value
 from feedloom.functions.time import iso_utc_from_ms
-from feedloom.operators.dedup import duplicate_rows
 from feedloom.operators.scalars import combine_one_row
 from feedloom.schemas import METADATA_CONTENT_FIELDS, REVIEW_REQUIRED_FIELDS
 
@@ -26,26 +25,37 @@ def _count_rows(df: DataFrame, alias: str) -> DataFrame:
 
 
 def profile_reviews(records: DataFrame) -> DataFrame:
-    """A1: one row of review-source statistics.
-
-    Each exact distinct count is its own branch (one shuffle of one column);
-    the duplicate count groups by the full (user, item, timestamp) key with
-    nulls equal.  Timestamps enter min/max only when written as integers.
+    """A1: one row of review-source statistics, in one pass over the records.
+
+    1. one row per (user, item, timestamp) key with its record count and
+       integer-timestamp range (a partial aggregate, so a hot key or copy group
+       is combined map-side; nulls group together, as Python tuples do);
+    2. grouping sets over that reduced table: per user, per item, and the
+       whole (``Expand`` multiplies only the reduced table, by three);
+    3. one small aggregate: records, truthy distinct users and items,
+       duplicates (= records - keys) and the ISO first/last timestamps.
     """
-    base = records.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.min("timestamp_int").alias("_min_ts"),
-        F.max("timestamp_int").alias("_max_ts"),
-    )
-    users = _count_rows(_truthy_ids(records, "user_id"), "unique_users")
-    items = _count_rows(_truthy_ids(records, "parent_asin"), "unique_reviewed_items")
-    dups = duplicate_rows(records, ["user_id", "parent_asin", "timestamp_key"],
-                          alias="exact_duplicate_events")
-    row = combine_one_row(base, users, items, dups)
+    per_key = records.groupBy("user_id", "parent_asin", "timestamp_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("timestamp_int").alias("_lo"), F.max("timestamp_int").alias("_hi"))
+    sets = per_key.groupingSets([["user_id"], ["parent_asin"], []], "user_id", "parent_asin").agg(
+        F.grouping_id().alias("_g"), F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_keys"),
+        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    # grouping_id: 1 = per user, 2 = per item, 3 = whole input.
+    whole = F.col("_g") == 3
+    truthy = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    row = sets.agg(
+        F.max(F.when(whole, F.col("_n"))).alias("_records"),
+        F.count_if((F.col("_g") == 1) & truthy("user_id")).alias("unique_users"),
+        F.count_if((F.col("_g") == 2) & truthy("parent_asin")).alias("unique_reviewed_items"),
+        F.max(F.when(whole, F.col("_n") - F.col("_keys"))).alias("_dups"),
+        F.max(F.when(whole, F.col("_lo"))).alias("_lo"),
+        F.max(F.when(whole, F.col("_hi"))).alias("_hi"))
     return row.select(
-        "records", "unique_users", "unique_reviewed_items", "exact_duplicate_events",
-        iso_utc_from_ms(F.col("_min_ts")).alias("first_interaction_utc"),
-        iso_utc_from_ms(F.col("_max_ts")).alias("last_interaction_utc"),
+        F.coalesce("_records", F.lit(0)).cast("bigint").alias("records"),
+        "unique_users", "unique_reviewed_items",
+        F.coalesce("_dups", F.lit(0)).cast("bigint").alias("exact_duplicate_events"),
+        iso_utc_from_ms(F.col("_lo")).alias("first_interaction_utc"),
+        iso_utc_from_ms(F.col("_hi")).alias("last_interaction_utc"),
     )
 
 
