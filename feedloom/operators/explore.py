@@ -33,8 +33,11 @@ def dataset_summary(interactions: DataFrame, items: DataFrame, positive_threshol
         F.avg(F.when(_valid_rating(rating), rating)).alias("mean_rating"),
         F.count_if(F.coalesce((rating >= t) & ~F.isnan(rating), F.lit(False))).alias("_positives"),
     )
-    users = interactions.select("user_id").distinct().agg(F.count(F.lit(1)).alias("users"))
-    items_n = interactions.select("item_id").distinct().agg(F.count(F.lit(1)).alias("items"))
+    # Distinct counts leave nulls out, as pandas ``nunique`` does.
+    users = (interactions.select("user_id").where(F.col("user_id").isNotNull()).distinct()
+             .agg(F.count(F.lit(1)).alias("users")))
+    items_n = (interactions.select("item_id").where(F.col("item_id").isNotNull()).distinct()
+               .agg(F.count(F.lit(1)).alias("items")))
     meta = items.agg(F.count(F.lit(1)).alias("metadata_items"))
     row = combine_one_row(base, users, items_n, meta)
     n = F.col("interactions").cast("double")

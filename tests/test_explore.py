@@ -38,3 +38,9 @@ def test_distributions_period_and_top_items(spark):
     items = spark.createDataFrame([("a", ""), ("b", "Bee")], "item_id string, title string")
     got = [tuple(r) for r in top_items(inter, items, k=3).collect()]
     assert got == [("z", "Untitled product", 12), ("a", "Untitled product", 3), ("b", "Bee", 3)]
+
+
+def test_distinct_counts_leave_nulls_out(spark):
+    inter = _interactions(spark, [("u1", "a", 5.0, 1), (None, "a", 4.0, 2), ("u1", None, 3.0, 3)])
+    s = dataset_summary(inter, spark.createDataFrame([("a",)], "item_id string")).first()
+    assert (s.interactions, s.users, s.items) == (3, 1, 1)
