@@ -311,7 +311,7 @@ def q_source_audit_totals(spark, d):
     return audit.agg(
         F.sum("lines").alias("lines"), F.sum("records").alias("records"),
         F.sum("blank_lines").alias("blank_lines"), F.sum("malformed_lines").alias("malformed_lines"),
-        F.count_if(~F.col("valid") & (F.col("bytes") > 20)).alias("invalid_files"))
+        F.count_if(~F.col("valid")).alias("invalid_files"))
 
 
 QUERIES: dict[str, Query] = {
