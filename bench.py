@@ -42,15 +42,24 @@ def main():
     spark = local_session()
     runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
     run(spark, "rating_counts", sf_dir)  # start the JVM side and the file listing cache
-    times, cold = {}, {}
+    times, cold, errors = {}, {}, {}
     for k in keys:
-        samples = [run(spark, k, sf_dir) for _ in range(runs)]
+        try:
+            samples = [run(spark, k, sf_dir) for _ in range(runs)]
+        except Exception as e:  # noqa: BLE001 - report the failure, keep the JSON line
+            times[k] = cold[k] = None
+            errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         cold[k] = round(samples[0], 3)
         times[k] = round(min(samples), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "runs_per_query": runs, "statistic": "min",
-                      "cold_total": round(sum(cold.values()), 3), "cold_queries": cold}))
+    ok = [v for v in times.values() if v is not None]
+    out = {"metric": "total_query_seconds", "value": round(sum(ok), 3), "unit": "sec",
+           "queries": times, "sf": sf, "runs_per_query": runs, "statistic": "min",
+           "cold_total": round(sum(v for v in cold.values() if v is not None), 3), "cold_queries": cold}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
