@@ -94,7 +94,8 @@ def items_cte(name: str, src: str, interactions: str) -> str:
   WHERE rn = 1)"""
 
 
-INTERACTION_OUT = "user_id, item_id, rating, timestamp_ms, verified_purchase, helpful_votes, event_time"
+INTERACTION_OUT = ("user_id, item_id, rating, timestamp_ms, verified_purchase, helpful_votes, "
+                   "strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time")
 ITEM_OUT = "item_id, title, description, features, store, price, average_rating, rating_number, item_text"
 
 EVENTS_BASE = ",\n".join([RAW_EVENTS, RAW_ITEMS, clean_cte("I", "raw_events"), items_cte("T", "raw_items", "I")])
@@ -146,9 +147,9 @@ FINDINGS_OUT = 'SELECT severity, dataset, "check", message, affected_rows FROM f
 
 
 def label_cte(src: str) -> str:
-    return f"""L AS (SELECT {INTERACTION_OUT},
+    return f"""L AS (SELECT {INTERACTION_OUT.replace("strftime(event_time", "strftime(x.event_time")},
     CAST(COALESCE(rating >= CAST(4.0 AS FLOAT) AND NOT isnan(rating), false) AS TINYINT) AS is_positive,
-    CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date FROM {src})"""
+    CAST(CAST(x.event_time AS DATE) AS VARCHAR) AS event_date FROM {src} x)"""
 
 
 LABEL_SUMMARY = """SELECT n AS interactions, p AS positive_interactions, n - p AS negative_or_neutral_interactions,
@@ -187,7 +188,7 @@ def item_index_cte(name: str, src: str) -> str:
 
 ENCODE_BASE = ",\n".join([EVENTS_BASE, USER_INDEX, item_index_cte("M", "I"), RAW_LINES, clean_cte("H", "raw_lines"),
                           f"""E AS (SELECT h.user_id, h.item_id, h.rating, h.timestamp_ms, h.verified_purchase,
-    h.helpful_votes, h.event_time,
+    h.helpful_votes, strftime(h.event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
     CAST(COALESCE(u.idx, -1) AS INTEGER) AS user_idx, CAST(COALESCE(m.idx, -1) AS INTEGER) AS item_idx
   FROM H h LEFT JOIN U u ON h.user_id = u.value LEFT JOIN M m ON h.item_id = m.value)"""])
 
@@ -230,7 +231,7 @@ FROM (SELECT (SELECT count(*) FROM r) AS reviewed, (SELECT count(*) FROM r WHERE
                                      """SELECT count(*) FILTER (WHERE severity = 'error') = 0 AS is_valid,
   count(*) FILTER (WHERE severity = 'error') AS errors,
   count(*) FILTER (WHERE severity = 'warning') AS warnings FROM g"""),
-    "referential_orphans": with_(EVENTS_BASE, f"""SELECT {INTERACTION_OUT} FROM I x
+    "referential_orphans": with_(EVENTS_BASE, f"""SELECT {INTERACTION_OUT.replace("strftime(event_time", "strftime(x.event_time")} FROM I x
 WHERE NOT EXISTS (SELECT 1 FROM T t WHERE t.item_id IS NOT DISTINCT FROM x.item_id)"""),
     "label_interactions": with_(EVENTS_BASE + ",\n" + label_cte("I"), "SELECT * FROM L"),
     "label_summary": with_(EVENTS_BASE + ",\n" + label_cte("I"), LABEL_SUMMARY),

@@ -1,8 +1,9 @@
 """Driver queries: each ``(spark, sf_dir) -> DataFrame`` runs one operator group
 over the record views of the driver tables.  ``present`` drops the internal
-``ordinal``, shows instants as UTC wall-clock ``TIMESTAMP_NTZ`` and dates as
-ISO ``yyyy-MM-dd`` text, so the result converts to the same Python values as
-the DuckDB oracle's whatever client library reads it.
+``ordinal`` and shows instants as UTC ``yyyy-MM-dd HH:mm:ss.SSSSSS`` text and
+dates as ``yyyy-MM-dd`` text: Spark and DuckDB hand timestamps to pandas at
+different resolutions (ns vs us), so text is the one form whose values *and*
+dtypes agree however the comparison reads them.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def present(df: DataFrame) -> DataFrame:
             continue
         c = F.col(f.name)
         if isinstance(f.dataType, TimestampType):
-            c = c.cast("timestamp_ntz")
+            c = F.date_format(c.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, DateType):
             c = c.cast("string")
         cols.append(c.alias(f.name))
