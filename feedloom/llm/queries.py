@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from feedloom.llm import quality_rules
+from pyspark.sql import functions as F
+
+from feedloom.llm import mixing, quality_rules, secret_scan, token_counts
 
 
 def table(spark, sf_dir, name):
@@ -15,6 +17,25 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(docs, trusted)
 
 
+def op7_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    vocabulary = token_counts.sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op10_secret_scans(spark, sf_dir):
+    owner, repository = F.col("source"), F.concat_ws("/", "source", "lang")
+    return secret_scan.scan(table(spark, sf_dir, "documents"), owner=owner, repository=repository)
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
+    "op10_secret_scans": op10_secret_scans,
 }
