@@ -166,6 +166,7 @@ def quality_rules(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Documents that a label marks as good."""
-    good = labels.where(F.col("quality") == 1).select(F.col(id_col)).distinct()
+    """Documents that a label marks as good.  Both sides are labels and texts of any number, so
+    the join is asked for as a merge join: its plan, and its disk, do not jump with the size."""
+    good = labels.where(F.col("quality") == 1).select(F.col(id_col)).hint("merge")
     return docs.join(good, id_col, "left_semi")
