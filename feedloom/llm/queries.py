@@ -4,13 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing, quality_rules, secret_scan, token_counts
+from feedloom.llm import mixing, packing, quality_rules, secret_scan, token_counts, warc
+from feedloom.session import scratch_path
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
+def op3_warc(spark, sf_dir):
+    path = scratch_path(spark, "archives")
+    warc.archive(table(spark, sf_dir, "pages"), path)
+    return warc.archived_pages(spark, path)
+
+
 def op4_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     trusted = quality_rules.trusted_documents(docs, table(spark, sf_dir, "labels"))
@@ -34,6 +48,8 @@ def op10_secret_scans(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
