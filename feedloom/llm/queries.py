@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing, packing, quality_rules, secret_scan, token_counts, warc
+from feedloom.llm import mixing, packing, quality_classifier, quality_rules, secret_scan, token_counts, warc
 from feedloom.session import scratch_path
 
 
@@ -19,6 +19,13 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op2_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, labels.where(~quality_classifier.held_out(F.col("doc_id"))))
+    held_out = quality_classifier.held_out(F.col("doc_id")).alias("held_out")
+    return quality_classifier.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op3_warc(spark, sf_dir):
     path = scratch_path(spark, "archives")
     warc.archive(table(spark, sf_dir, "pages"), path)
@@ -49,6 +56,7 @@ def op10_secret_scans(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
     "op7_mixing": op7_mixing,
