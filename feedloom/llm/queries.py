@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import embedding_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, token_counts, warc
+from feedloom.llm import embedding_dedup, jaccard_join, mixing, packing, quality_classifier, quality_rules, secret_scan, token_counts, warc
 from feedloom.session import scratch_path
 
 
@@ -38,6 +38,10 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(docs, trusted)
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
