@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import embedding_dedup, jaccard_join, mixing, packing, quality_classifier, quality_rules, secret_scan, token_counts, warc
+from feedloom.llm import embedding_dedup, jaccard_join, mixing, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, warc
 from feedloom.session import scratch_path
 
 
@@ -57,6 +57,10 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scans(spark, sf_dir):
     owner, repository = F.col("source"), F.concat_ws("/", "source", "lang")
     return secret_scan.scan(table(spark, sf_dir, "documents"), owner=owner, repository=repository)
@@ -71,5 +75,6 @@ QUERIES = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scans": op10_secret_scans,
 }
