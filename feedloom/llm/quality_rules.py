@@ -3,7 +3,7 @@
 Two multinomials over hashed word n-grams (one and two words, ``BUCKETS``
 cells, smoothed by pseudo-counts) are counted in Spark: one over the trusted target
 documents, one over the whole raw corpus.  A document's score is the mean over
-its n-grams of log p_target - log p_raw.  Every document at or above the
+its n-grams of log p_target - log p_raw, its own occurrences left out of the raw counts.  Every document at or above the
 threshold passes; nothing is sampled.
 
 Defined results: null text counts as empty; a text without words has ratio 0
@@ -14,6 +14,8 @@ they come; further columns are ignored or carried.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,9 +28,9 @@ from feedloom.llm import text as tx
 BUCKETS = 1 << 15
 GRAMS = (1, 2)
 #: Mean log ratio per n-gram below which a document is unlike the trusted ones.
-#: Clean documents lie around 0 (the raw corpus is mostly clean); -0.075 says that
-#: a document's n-grams are 7 % less likely under the target, on average.
-THRESHOLD = -0.075
+#: Clean documents lie around 0 (the raw corpus is mostly clean); -0.1 says that
+#: a document's n-grams are 10 % less likely under the target, on average.
+THRESHOLD = -0.1
 PSEUDO = 8.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -120,13 +122,21 @@ def gram_counts(df: DataFrame, text_col: str = "text") -> np.ndarray:
     return arrow.summed_vectors(vectors, BUCKETS)
 
 
-def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """log p_target - log p_raw per cell, both with PSEUDO counts at the raw scale of the target,
-    so that a cell with little evidence says little."""
-    if not target.sum() or not raw.sum():
-        return np.zeros(len(raw))
-    expected = raw * (target.sum() / raw.sum())
-    return np.log((target + PSEUDO) / (expected + PSEUDO))
+@dataclass
+class Ratios:
+    """Counts per cell of the target and of the raw corpus."""
+
+    target: np.ndarray
+    raw: np.ndarray
+
+    def of(self, cells: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """log p_target - log p_raw of cells, both with PSEUDO counts at the scale of the target, so that a
+        cell with little evidence says little; ``own`` occurrences in the document are no evidence on it."""
+        if not self.target.sum():
+            return np.zeros(len(cells))
+        scale = self.target.sum() / self.raw.sum()
+        expected = np.maximum(self.raw[cells] - own, 0) * scale
+        return np.log((self.target[cells] + PSEUDO) / (expected + PSEUDO))
 
 
 def quality_rules(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -136,9 +146,9 @@ def quality_rules(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
     ``trusted`` holds texts of the trusted target in ``text_col``.  Adds n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, log_ratio
     and kept to the ``carry`` columns (default: the id).  The model that tasks
-    get is one vector of BUCKETS doubles, whatever the corpus size.
+    get is two vectors of BUCKETS counts, whatever the corpus size.
     """
-    ratios = log_ratios(gram_counts(trusted, text_col), gram_counts(df, text_col))
+    ratios = Ratios(gram_counts(trusted, text_col), gram_counts(df, text_col))
 
     def maker():
         def make(column: pa.Array) -> list[pa.Array]:
@@ -149,8 +159,9 @@ def quality_rules(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
             in_words = np.concatenate([[0], np.cumsum(chars[ends] - chars[starts])])
             repeats = _repeats(words, first)
             cells, doc = _cells(words, first)
-            sums = np.bincount(doc, weights=ratios[cells], minlength=len(n_words))
             grams = np.bincount(doc, minlength=len(n_words))
+            keys, own = np.unique(doc * BUCKETS + cells, return_counts=True)
+            sums = np.bincount(keys // BUCKETS, weights=own * ratios.of(keys % BUCKETS, own), minlength=len(n_words))
             ratio = sums / np.maximum(grams, 1)
             failed = (n_words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n_words)
             longs = [n_words, np.diff(in_words[first]), _sums(_SYMBOL[data], offsets),
