@@ -17,6 +17,7 @@ that repeat are packed each; a null id is carried; an empty table packs nothing.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -36,26 +37,84 @@ ROUNDS = 600
 STEP = 0.5
 RATE = 1.0
 RANK_ROWS = 8192  # pieces of one length that are numbered together, about
-MEMO = 1 << 18
+MEMO = 1 << 18  # words, and runs of them, that a worker remembers at least
 
 
-class WordIds(dict):
-    """Token ids of words as little-endian 32-bit integers.  For tokenizers that drop white space
-    the ids of a text are those of its words, one after the other; each word is encoded once."""
+#: Words that are one run of letters and one of punctuation, both of characters that every Unicode version
+#: treats alike: their ids are those of the two runs.  All others go to the tokenizer as they are.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)\Z")
 
-    def __init__(self, path: str):
+
+class _Known(dict):
+    """Ids by key.  When there are MEMO of them, those not used since the last such moment are forgotten."""
+
+    def __init__(self):
         super().__init__()
+        self.before: dict = {}
+
+    def missing(self, keys: set) -> list:
+        if len(self) >= MEMO:
+            self.before = dict(self)
+            self.clear()
+        new = []
+        for k in keys:
+            if k not in self:
+                found = self.before.get(k)
+                if found is None:
+                    new.append(k)
+                else:
+                    self[k] = found
+        return new
+
+
+class WordIds:
+    """Token ids of words as little-endian 32-bit integers, each word encoded once.  For tokenizers that drop
+    white space and end every run of letters or punctuation in a token marked so, the ids of a text are
+    those of its words one after the other, and those of a word are those of its runs."""
+
+    def __init__(self, path: str, word_end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self) > MEMO:
-            self.clear()
-        new = [w for w in set(words) if w not in self]
-        found = self.encoder.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
+        vocabulary = self.encoder.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(word_end)]] = True
+        self.words, self.runs = _Known(), _Known()
+
+    def learn(self, words: list[bytes]) -> dict:
+        new = self.words.missing(set(words))
+        simple, other = [], []
+        for w in new:
+            m = _SIMPLE.match(w.decode("utf-8", "replace"))
+            if m:
+                simple.append((w, m[1].lower(), m[2]))
+            else:
+                other.append(w)
+        runs = self.runs.missing({x for _, *both in simple for x in both if x})
+        for k in range(0, len(runs), 1 << 14):
+            self._learn_runs(runs[k:k + (1 << 14)])
+        ids = self.runs
+        for w, letters, marks in simple:
+            self.words[w] = ids[letters] + ids[marks] if marks else ids[letters]
+        found = self.encoder.encode_batch([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
+        self.words.update(zip(other, (np.array(e.ids, "<u4").tobytes() for e in found)))
+        return self.words
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        ids = np.array(self.encoder.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(runs) and cuts[-1] == len(ids):
+            raw, low = ids.tobytes(), 0
+            for run, high in zip(runs, (4 * cuts).tolist()):
+                self.runs[run] = raw[low:high]
+                low = high
+        else:  # a tokenizer that does not mark the ends: one by one
+            for run, e in zip(runs, self.encoder.encode_batch(runs, add_special_tokens=False)):
+                self.runs[run] = np.array(e.ids, "<u4").tobytes()
+
+
+_encoders: dict[str, WordIds] = {}  # kept by a worker from task to task
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -66,15 +125,16 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     fields = [own.schema["id"], StructField("piece", IntegerType()), *(StructField(n, LongType()) for n in ("start", "length", "ids_crc32"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordIds(tokenizer_path)
+        memo = _encoders.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
+        _encoders[tokenizer_path] = memo
         for batch in batches:
             column = tx.text_array(batch.column(1))
             for a, b in tx.slices(column):
                 texts = [t.as_buffer().to_pybytes().split() for t in column.slice(a, b - a)]
-                memo.learn([w for words in texts for w in words])
+                ids_of = memo.learn([w for words in texts for w in words])
                 rows = []
                 for i, words in enumerate(texts):
-                    ids = b"".join(map(memo.__getitem__, words)) + end
+                    ids = b"".join(map(ids_of.__getitem__, words)) + end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at:at + 4 * capacity]
                         rows.append((a + i, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
