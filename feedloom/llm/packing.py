@@ -56,14 +56,11 @@ class _Known(dict):
         if len(self) >= MEMO:
             self.before = dict(self)
             self.clear()
-        new = []
-        for k in keys:
-            if k not in self:
-                found = self.before.get(k)
-                if found is None:
-                    new.append(k)
-                else:
-                    self[k] = found
+        new = [k for k in keys if k not in self]
+        if self.before:
+            old = self.before
+            self.update((k, old[k]) for k in new if k in old)
+            new = [k for k in new if k not in old]
         return new
 
 
@@ -84,19 +81,23 @@ class WordIds:
 
     def learn(self, words: list[bytes]) -> dict:
         new = self.words.missing(set(words))
-        simple, other = [], []
+        simple, other, needed, match = [], [], set(), _SIMPLE.match
         for w in new:
-            m = _SIMPLE.match(w.decode("utf-8", "replace"))
-            if m:
-                simple.append((w, m[1].lower(), m[2]))
-            else:
+            m = match(w.decode("utf-8", "replace"))
+            if m is None:
                 other.append(w)
-        runs = self.runs.missing({x for _, *both in simple for x in both if x})
+                continue
+            letters, marks = m.groups()
+            letters = letters.lower()
+            simple.append((w, letters, marks))
+            needed.add(letters)
+            if marks:
+                needed.add(marks)
+        runs = self.runs.missing(needed)
         for k in range(0, len(runs), 1 << 14):
             self._learn_runs(runs[k:k + (1 << 14)])
         ids = self.runs
-        for w, letters, marks in simple:
-            self.words[w] = ids[letters] + ids[marks] if marks else ids[letters]
+        self.words.update([(w, ids[a] + ids[b] if b else ids[a]) for w, a, b in simple])
         found = self.encoder.encode_batch([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
         self.words.update(zip(other, (np.array(e.ids, "<u4").tobytes() for e in found)))
         return self.words
