@@ -25,25 +25,33 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.length("text").cast(kind).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
+def _renamed(docs: DataFrame) -> tuple[DataFrame, list[str], list]:
+    """``docs`` under column names that clash with none, these names, and the way back."""
+    names = [f"c_{i}" for i in range(len(docs.columns))]
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
+    return own, names, [F.col(n).alias(c) for c, n in zip(docs.columns, names)]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     trusted = quality_rules.trusted_documents(docs, labels)
-    names = [f"c_{i}" for i in range(len(docs.columns))]
-    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
+    own, names, back = _renamed(docs)
     text = names[docs.columns.index("text")]
     judged = quality_rules.quality_rules(own, trusted.withColumnRenamed("text", text), text_col=text, carry=names)
-    return judged.where("kept").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
+    return judged.where("kept").select(*back)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the least doc_id."""
     groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"))
     stays = groups.where("doc_id = component_id").select(F.col("doc_id").alias("g_id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    kept = (docs.where("doc_id is not null").join(stays.hint("merge"), F.col("doc_id").cast("long") == F.col("g_id"), "left_semi")
-            .withColumn("g_place", F.row_number().over(first)).where("g_place = 1").select(*[f"`{c}`" for c in docs.columns]))
-    return kept.unionByName(docs.where("doc_id is null"))
+    own, names, back = _renamed(docs)
+    key, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    first = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
+    kept = (own.where(key.isNotNull()).join(stays.hint("merge"), key.cast("long") == F.col("g_id"), "left_semi")
+            .withColumn("g_place", F.row_number().over(first)).where("g_place = 1"))
+    return kept.select(*back).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
