@@ -23,25 +23,40 @@ import numpy as np
 
 CHUNK = 1 << 17       # suffixes handled at once
 RANGE = 1 << 13       # suffixes in a range of several characters, about
-HELD = 1 << 20        # queued tuples in memory; beyond it they go to disk
+HELD = 1 << 21        # queued tuples in memory; beyond it they go to disk
+KEPT = 1 << 21        # rows of any other array in memory; beyond it it is a file
 
 
 class File:
-    """A growing array of int64 rows on disk; small ones stay in memory until they have grown."""
+    """A growing array of int64 rows; beyond KEPT rows it is on disk, until ``drop``."""
 
     def __init__(self, path: str, width: int = 2):
         self.path, self.width, self.rows = path, width, 0
-        self.out = open(path, "wb", buffering=1 << 20)
+        self.parts: list[np.ndarray] = []
+        self.out = None
 
     def add(self, rows: np.ndarray) -> None:
-        np.ascontiguousarray(rows, np.int64).tofile(self.out)
         self.rows += len(rows)
+        self.parts.append(np.array(rows, np.int64))
+        if self.out is None and self.rows > KEPT:
+            self.out = open(self.path, "wb")
+        if self.out is not None:
+            for part in self.parts:
+                part.tofile(self.out)
+            self.parts.clear()
 
     def done(self) -> np.ndarray:
-        self.out.close()
-        if not self.rows:
-            return np.zeros((0, self.width), np.int64)
-        return np.memmap(self.path, np.int64, "r", shape=(self.rows, self.width))
+        if self.out is not None:
+            self.out.close()
+            return np.memmap(self.path, np.int64, "r", shape=(self.rows, self.width))
+        self.parts = [np.concatenate(self.parts)] if self.parts else [np.zeros((0, self.width), np.int64)]
+        return self.parts[0]
+
+    def drop(self) -> None:
+        self.parts.clear()
+        if self.out is not None:
+            self.out.close()
+            os.remove(self.path)
 
 
 class Queue:
@@ -92,6 +107,12 @@ class Queue:
                 self.buffers[r] = [rows[n:]]
         return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
 
+    def drop(self, r: int | None = None) -> None:
+        """Forget a range that is done with, or all."""
+        for x in [r] if r is not None else list(self.written):
+            if self.written.pop(x, None) is not None:
+                os.remove(f"{self.folder}/{x}")
+
 
 class Least:
     """Least prefix length that has passed since the last push to each character."""
@@ -132,7 +153,7 @@ class Sorter:
     def __init__(self, x: np.ndarray, sentinels: int, folder: str):
         self.x, self.sentinels, self.folder, self.n = x, sentinels, folder, len(x)
         os.makedirs(folder, exist_ok=True)
-        self.small = np.zeros(self.n, bool) if self.n <= 1 << 24 else np.memmap(f"{folder}/types", bool, "w+", shape=(self.n,))
+        self.small = np.zeros(self.n, bool) if self.n <= 8 * KEPT else np.memmap(f"{folder}/types", bool, "w+", shape=(self.n,))
         next_value, next_type = -1, True
         for end in range(self.n, 0, -CHUNK):
             begin = max(0, end - CHUNK)
@@ -250,6 +271,7 @@ class Sorter:
                     rows, waiting = waiting[:cut], waiting[cut:]
                     out.add(rows[rows[:, 0] % 2 == 0, 1:])
                     up(rows)
+            queue.drop(r)
             offsets.append(out.rows)
         rising = out.done()
 
@@ -309,6 +331,8 @@ class Sorter:
                     cut = int(np.searchsorted(-waiting[:, 0], -(2 * int(inside.max()) + 1), "right")) if len(inside) else len(waiting)
                     rows, waiting = waiting[:cut], waiting[cut:]
                     yield down(rows)
+            queue.drop(r)
+        out.drop()
 
     def names(self, stars: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """S* positions by their S*-substrings, the name of each, and how many (the first) are sentinels:

@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm import text as tx
-from feedloom.llm.induced_sort import CHUNK, Sorter
+from feedloom.llm.induced_sort import CHUNK, KEPT, Sorter
 from feedloom.session import materialize
 
 LENGTH = 100
 GRAM = 40
 BUCKET_ROWS = 1 << 20  # segments in a bucket, about
 SLICE_BYTES = 4 << 20
-SHARD_BYTES = 4 << 20  # of suffixes sorted together, about; an anchor with more is sorted on disk all the same
+SHARD_BYTES = 2 << 20  # of suffixes sorted together, about; what is more than fits memory is sorted on disk
 LAST_ID = (1 << 63) - 1
 
 #: One segment: anchor hash beyond its bucket, hash of its bytes, windows, start, document in the slice.
@@ -129,7 +129,7 @@ def _ask(buckets: int, length: int, gram: int):
         bucket, own = bucket[by], packed[keep[by]]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         none = dict.fromkeys(_ASKED.names)
-        out = [{**none, "bucket": int(bucket[a]), "slice": number, "rows": own[a:b].tobytes(), "ids": ids[own["doc"][a:b]].tobytes()}
+        out = [{**none, "bucket": int(bucket[a]), "slice": number, "rows": own[a:b].tobytes(), "ids": ids[np.unique(own["doc"][a:b])].tobytes()}
                for a, b in zip(cuts, [*cuts[1:], len(bucket)])]
         out.append({**none, "bucket": -1 - number, "slice": number, "rows": known.tobytes(),
                     "ids": ids.tobytes(), "prints": prints.tobytes()})
@@ -158,7 +158,8 @@ def _answer(buckets: int):
                              "ids": table["ids"], "prints": table["prints"]})
         parts = [np.frombuffer(r, SEGMENT) for r in table["rows"].to_pylist()]
         seg = np.concatenate(parts)
-        ids = np.frombuffer(b"".join(table["ids"].to_pylist()), np.int64)
+        ids = np.concatenate([np.frombuffer(i, np.int64)[np.unique(x["doc"], return_inverse=True)[1]]
+                              for i, x in zip(table["ids"].to_pylist(), parts)])  # a row names its documents once
         order, first = _earliest([seg["anchor"], seg["content"], seg["run"]], ids, seg["start"])
         leader = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
         at_first = (ids[leader] == ids[order]) & (seg["start"][leader] == seg["start"][order])
@@ -207,8 +208,8 @@ def _noted(table: pa.Table) -> pa.Table:
 
 # --- suffix order ------------------------------------------------------------------
 
-def _cut_out(shards: int, length: int):
-    """Bytes of contested segments, each with its shard."""
+def _cut_out(length: int):
+    """Bytes of contested segments, each with its anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = tx.text_array(batch.column("text"))
@@ -219,11 +220,11 @@ def _cut_out(shards: int, length: int):
                     continue
                 start, run_ = rows["start"].astype(np.int64), rows["run"].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((tx.mix(rows["anchor"].copy()) % np.uint64(shards)).astype(np.int64)),
+                    [pa.array(rows["anchor"].astype(np.uint64).view(np.int64)),
                      pa.array([batch.column("id")[i].as_py()] * len(rows), pa.int64()),
                      pa.array([batch.column("print")[i].as_py()] * len(rows), pa.int64()), pa.array(start),
                      pa.array([text[s:s + r + length - 1] for s, r in zip(start.tolist(), run_.tolist())], pa.binary())],
-                    ["shard", "id", "print", "start", "bytes"])
+                    ["anchor", "id", "print", "start", "bytes"])
     return run
 
 
@@ -238,7 +239,7 @@ def repeated_windows(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, dat
     bytes that also begins at an earlier (id, start)."""
     n = len(sizes)
     total = int(sizes.sum()) + n
-    x = np.memmap(f"{folder}/text", np.int64, "w+", shape=(total,))
+    x = np.empty(total, np.int64) if total <= KEPT * 2 else np.memmap(f"{folder}/text", np.int64, "w+", shape=(total,))
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])
     read = np.concatenate([[0], np.cumsum(sizes)])
     for k in range(n):
@@ -380,8 +381,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # texts and notes both grow with the corpus: merge joins at every size
     contested = info.where(F.octet_length("contested") > 0).select("id", "print", "contested")
     cut = own.join(contested.hint("merge"), ["id", "print"]).mapInArrow(
-        _cut_out(shards, length), "shard long, id long, print long, start long, bytes binary")
-    sorted_ = cut.repartition(shards, "shard").select("id", "print", "start", "bytes").mapInArrow(
+        _cut_out(length), "anchor long, id long, print long, start long, bytes binary")
+    sorted_ = cut.repartition(shards, "anchor").select("id", "print", "start", "bytes").mapInArrow(
         _sort_shards(length), "id long, print long, start long, spans binary")
     spans = materialize(sorted_.where(F.octet_length("spans") > 0), "repeat-spans")
     by_doc = spans.groupBy("id", "print").agg(F.collect_set(F.struct("start", "spans")).alias("spans"))
