@@ -5,10 +5,11 @@
    a slice of texts holds several times goes once), buckets answer which are
    shared, and documents that cannot reach the threshold leave.
 2. *Classes.*  Equal sets are one class with its least id.
-3. *Clusters.*  Classes that share one of their first shingles in hash order
-   (enough that a linked pair shares one) are joined by edges; edges of short
-   runs must also pass the count-vector bound.  Components of the edges are
-   clusters: linked classes always lie in one.
+3. *Clusters.*  The shingles of the remaining classes are counted (packed as in
+   step 1).  Classes that share one of their rarest shingles (enough that a
+   linked pair shares one) are joined by edges; edges of short runs must also
+   pass the count-vector bound.  Components of the edges are clusters: linked
+   classes always lie in one.
 4. *R-tree.*  Within a cluster token hashes fall into groups, group counts are
    the points of a packed R-tree, the sum of coordinate minima with a node's box
    bounds the overlap with all below it, and surviving pairs are verified on the
@@ -39,6 +40,7 @@ WORDS = 4
 PERCENT = 85
 BUCKET_ROWS = 1 << 20  # shingles in a bucket, about
 SLICE_BYTES = 4 << 20
+SLICE_SHINGLES = 1 << 20
 SHORT_RUN = 16
 BLOCK_CLASSES = 1024
 BLOCK_SHINGLES = 1 << 20
@@ -195,22 +197,81 @@ def fold(vector: np.ndarray, groups: int) -> np.ndarray:
     return vector.reshape(-1, groups).sum(axis=0)
 
 
-def _sets(words: int, percent: int):
+def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = tx.text_array(batch.column(1))
             for a, b in tx.slices(column):
                 grams, begin = shingle_sets(column.slice(a, b - a), words)
-                out = {"hashes": [], "vector": [], "keys": []}
+                hashes, vector = [], []
                 for x, y in zip(begin[:-1], begin[1:]):
-                    own, n = grams[x:y], int(y - x)
-                    out["hashes"].append(own.tobytes())
-                    out["vector"].append(count_vector(own, groups_for(n)).astype(np.uint32).tobytes())
-                    out["keys"].append(own[:n - -(-percent * n // 100) + 1].view(np.int64))
+                    hashes.append(grams[x:y].tobytes())
+                    vector.append(count_vector(grams[x:y], groups_for(int(y - x))).astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(begin).astype(np.int64)), pa.array(out["hashes"], pa.binary()),
-                     pa.array(out["vector"], pa.binary()), pa.array(out["keys"], pa.list_(pa.int64()))],
-                    ["rep", "n", "hashes", "vector", "keys"])
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(begin).astype(np.int64)),
+                     pa.array(hashes, pa.binary()), pa.array(vector, pa.binary())], ["rep", "n", "hashes", "vector"])
+    return run
+
+
+_COUNTED = pa.schema([("bucket", pa.int64()), ("slice", pa.int64()), ("values", pa.binary()), ("reps", pa.binary()), ("sizes", pa.binary())])
+_COUNTED_SQL = "bucket long, slice long, values binary, reps binary, sizes binary"
+
+
+def _ask_counts(buckets: int):
+    """Per slice of sets: a row for each bucket with part of each hash, and one with the sets themselves."""
+    def rows(reps: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, number: int) -> list[dict]:
+        bucket = ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        values, bucket = (hashes[by] >> np.uint64(32)).astype(np.uint32), bucket[by]
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        none = dict.fromkeys(_COUNTED.names)
+        out = [{**none, "bucket": int(bucket[a]), "slice": number, "values": values[a:b].tobytes()}
+               for a, b in zip(cuts, [*cuts[1:], len(bucket)])]
+        out.append({**none, "bucket": -1 - number, "slice": number, "values": hashes.tobytes(), "reps": reps.tobytes(), "sizes": sizes.tobytes()})
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            reps, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ends, at = np.cumsum(sizes), 0
+            while at < len(reps):
+                to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_SHINGLES, "right"))
+                to = min(max(to, at + 1), len(reps))
+                hashes = np.frombuffer(b"".join(batch.column(2).slice(at, to - at).to_pylist()), np.uint64)
+                yield pa.RecordBatch.from_pylist(rows(reps[at:to], sizes[at:to], hashes, number), _COUNTED)
+                at, number = to, number + 1
+    return run
+
+
+def _answer_counts(table: pa.Table) -> pa.Table:
+    """A bucket: in place of each hash how many classes hold it, up to 255."""
+    if table["bucket"][0].as_py() < 0:
+        return table
+    parts = [np.frombuffer(v, np.uint32) for v in table["values"].to_pylist()]
+    _, at, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    held = np.minimum(count, 255).astype(np.uint8)[at]
+    cuts = np.cumsum([0, *map(len, parts)])
+    return table.set_column(2, "values", pa.array([held[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()))
+
+
+def _rarest(buckets: int, percent: int):
+    """A slice: of each class the rarest shingles, so many that a linked pair shares one of them.  Those that no
+    other class holds are among them but join nothing, and are left out."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+        head = next(r for r in rows if r["reps"] is not None)
+        reps, sizes, hashes = (np.frombuffer(head[c], t) for c, t in (("reps", np.int64), ("sizes", np.int64), ("values", np.uint64)))
+        held = np.empty(len(hashes), np.uint8)
+        bucket = (hashes & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
+        held[np.argsort(bucket, kind="stable")] = np.frombuffer(b"".join(r["values"] for r in rows if r["reps"] is None), np.uint8)
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((hashes, held, of))  # rarest first; of equals by hash: one order for all classes
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(len(hashes)) - first[of]
+        prefix = sizes - -(-percent * sizes // 100) + 1
+        take = order[(place < prefix[of]) & (held[order] > 1)]
+        return pa.table({"key": hashes[take].view(np.int64), "rep": reps[of[take]], "n": sizes[of[take]]})
     return run
 
 
@@ -416,9 +477,12 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = materialize(can.groupBy(*prints).agg(F.min("id").alias("rep")), "shingle-classes")
     # both sides grow with the corpus: a merge join at every size
     texts = _texts(df, id_col, text_col).join(classes.select(F.col("rep").alias("id")).hint("merge"), "id", "left_semi")
-    sets = materialize(texts.mapInArrow(_sets(words, percent), "rep long, n long, hashes binary, vector binary, keys array<long>")
-                       .where("n > 0"), "shingle-sets")
-    keyed = sets.select(F.explode("keys").alias("key"), "rep", "n").repartition("key").sortWithinPartitions("key", "rep")
+    sets = materialize(texts.mapInArrow(_sets(words), "rep long, n long, hashes binary, vector binary").where("n > 0"), "shingle-sets")
+    buckets = max(16, (sets.agg(F.sum("n")).first()[0] or 0) // BUCKET_ROWS)
+    held = (sets.select("rep", "n", "hashes").mapInArrow(_ask_counts(buckets), _COUNTED_SQL)
+            .groupBy("bucket").applyInArrow(_answer_counts, _COUNTED_SQL))
+    keyed = (held.groupBy("slice").applyInArrow(_rarest(buckets, percent), "key long, rep long, n long")
+             .repartition("key").sortWithinPartitions("key", "rep"))
     edges = keyed.mapInArrow(_edges(percent), "u long, v long, check boolean").groupBy("u", "v").agg(F.min("check").alias("check"))
     points = sets.select("rep", "n", "vector")
     left = points.select(F.col("rep").alias("u"), F.col("n").alias("n1"), F.col("vector").alias("vector1"))
