@@ -19,6 +19,6 @@ from feedloom.operators.validate import gate, referential_orphans, validation_fi
 from feedloom.plans.build import build_tables, explore, fit_and_encode, gate_and_label, profile_sources
 from feedloom.sources.audit import source_audit
 from feedloom.sources.jsonl import ingest_records, metadata_records, quarantine, read_records, review_records
-from feedloom.sources.sinks import read_interactions, read_items, write_labeled, write_summary, write_tables
+from feedloom.sources.sinks import read_table, write_labeled, write_summary
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -9,11 +9,6 @@ from pyspark.sql.types import ArrayType, BooleanType, MapType, NumericType, Stri
 from feedloom.functions.text import has_text
 
 
-def missing_text_value(col: Column) -> Column:
-    """L3: null or the empty string counts as missing (0 is present)."""
-    return col.isNull() | (col.cast("string") == "")
-
-
 def falsy(df: DataFrame, name: str) -> Column:
     """L4: Python falsiness of a field: None, '', [], {}, 0, false, or absent."""
     if name not in df.columns:

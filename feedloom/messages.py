@@ -31,3 +31,7 @@ NOT_FITTED = "Encoder has not been fitted."
 
 # Exploration.
 DEFAULT_TITLE = "Untitled product"
+
+# Own texts (no counterpart in the contract).
+NO_ROW_ORDER = "first-seen order needs row order columns: pass order=[...]"
+INDEX_TOO_LARGE = "more distinct identifiers than an INT index can number"

@@ -130,20 +130,31 @@ def reviewed_item_ids(interactions: DataFrame) -> DataFrame:
     return interactions.select("item_id").distinct()
 
 
-def clean_items(metadata: DataFrame, interactions: DataFrame, sort: bool = True) -> DataFrame:
-    """Keep reviewed items only, build normalised text, keep-first dedup, cast, order.
-
-    The semi join runs before the text expressions (J1 then P6).  Its build
-    side is the *distinct* reviewed ids, so AQE broadcasts it only when the
-    measured size is under the broadcast threshold and otherwise shuffles.
+def clean_items(metadata: DataFrame, interactions: DataFrame, sort: bool = True,
+                on_cast_error: str = "raise") -> DataFrame:
+    """Keep reviewed items only, keep-first dedup, then cast and build normalised text, order.
+
+    The semi join runs first (J1); its build side is the *distinct* reviewed
+    ids, so AQE broadcasts it only when the measured size is under the
+    broadcast threshold and otherwise shuffles.  Copies are dropped on the raw
+    fields (R2) before anything is cast or built, so neither a bad value in a
+    later copy nor the text of a dropped one costs anything.
+
+    ``on_cast_error="skip"`` leaves out records that ``item_cast_failures``
+    lists, before the dedup, as ``clean_interactions`` does.
     """
+    if on_cast_error not in ("raise", "skip"):
+        raise ValueError("on_cast_error must be 'raise' or 'skip'")
+    if on_cast_error == "skip":
+        metadata = metadata.where(F.size(_failed_fields(metadata, ITEM_CASTS)) == 0)
     reviewed = reviewed_item_ids(interactions).withColumnRenamed("item_id", "parent_asin")
-    kept = metadata.join(reviewed, on="parent_asin", how="left_semi")
+    listed = metadata.join(reviewed, on="parent_asin", how="left_semi")
+    kept = keep_first(listed, ["parent_asin"], [ORDINAL])
     title = join_text(kept, "title")
     description = join_text(kept, "description")
     features = join_text(kept, "features")
     store = join_text(kept, "store")
-    projected = kept.select(
+    out = kept.select(
         typed(kept, "parent_asin", "string").alias("item_id"),
         title.alias("title"),
         description.alias("description"),
@@ -155,8 +166,7 @@ def clean_items(metadata: DataFrame, interactions: DataFrame, sort: bool = True)
         item_text(title, description, features, store).alias("item_text"),
         F.col(ORDINAL),
     )
-    deduped = keep_first(projected, ["item_id"], [ORDINAL])
-    out = deduped.select(*ITEM_COLUMNS, ORDINAL)
+    out = out.select(*ITEM_COLUMNS, ORDINAL)
     return out.orderBy("item_id", ORDINAL) if sort else out
 
 

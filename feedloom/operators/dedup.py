@@ -1,4 +1,4 @@
-"""Keep-first dedup (R1, R2) and duplicate counting.
+"""Keep-first dedup (R1, R2).  Duplicate counts (A4, R3) are in ``profile`` and ``validate``.
 
 ``dropDuplicates`` keeps an arbitrary row.  Keep-first is ``row_number`` over
 the key ordered by the source ordinal; Catalyst turns ``rn = 1`` into a
@@ -23,13 +23,3 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
     w = Window.partitionBy(F.col("_h"), *keys).orderBy(*order)
     ranked = df.withColumn("_h", F.xxhash64(*keys)).withColumn("_rn", F.row_number().over(w))
     return ranked.where(F.col("_rn") == 1).drop("_rn", "_h")
-
-
-def duplicate_rows(df: DataFrame, keys: list[str | Column], alias: str = "duplicates") -> DataFrame:
-    """Rows beyond the first per key, nulls equal to nulls (one-row frame).
-
-    ``count(DISTINCT a, b)`` skips rows with a null, so group instead; the
-    partial aggregate combines a hot key map-side before the shuffle.
-    """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias(alias))

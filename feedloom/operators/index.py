@@ -26,9 +26,13 @@ UNKNOWN_INDEX = -1
 _POS_BITS = 33
 
 
+#: Row order of a contract interactions table, the default for fitting on one.
+CONTRACT_ORDER = ["user_id", "timestamp_ms", "ordinal"]
+
+
 def _first_positions(df: DataFrame, column: str, order: list[str]) -> tuple[DataFrame, list[Column]]:
-    if not order or order[0] == column:
-        # Rows ordered by the id itself: first appearance order is id order.
+    if order[0] == column:
+        # The caller orders rows by the id itself: first appearance order is id order.
         firsts = df.select(F.col(column).alias("value")).distinct()
         return firsts, [F.col("value")]
     firsts = df.groupBy(F.col(column).alias("value")).agg(
@@ -36,17 +40,20 @@ def _first_positions(df: DataFrame, column: str, order: list[str]) -> tuple[Data
     return firsts, [F.col("_first"), F.col("value")]
 
 
-def fit_index(df: DataFrame, column: str, order: list[str] | None = None,
-              partitions: int | None = None) -> DataFrame:
+def fit_index(df: DataFrame, column: str, order: list[str], partitions: int | None = None) -> DataFrame:
     """Fit a first-seen index of ``column`` over rows ordered by ``order``.
 
     ``order`` lists the columns that define the fitting table's row order, e.g.
     ``["user_id", "timestamp_ms", "ordinal"]`` for a contract interactions
-    table.  A null id raises, as fitting on a null identifier is an error.
+    table.  There is no order to fall back to: a DataFrame has none of its own,
+    so an empty ``order`` raises.  A null id raises, as fitting on a null
+    identifier is an error, and so does a mapping beyond INT.
     """
+    if not order:
+        raise ValueError(messages.NO_ROW_ORDER)
     spark = df.sparkSession
     checkpoint_dir(spark)
-    firsts, sort_key = _first_positions(df, column, list(order or []))
+    firsts, sort_key = _first_positions(df, column, list(order))
     # Without an explicit count AQE may coalesce the range partitions; it only
     # merges neighbours, so partition order still follows the sort key.
     ranged = (firsts.repartitionByRange(partitions, *sort_key) if partitions
@@ -70,16 +77,27 @@ def fit_index(df: DataFrame, column: str, order: list[str] | None = None,
     # One row per range partition: bounded by ``n``, so broadcasting it is safe.
     return with_pid.join(F.broadcast(offsets), "_pid").select(
         F.col("value").cast("string").alias("value"),
-        (F.col("_offset") + F.col("_pos")).cast("int").alias("idx"))
+        _int_index(F.col("_offset") + F.col("_pos")).alias("idx"))
+
+
+def _int_index(position: Column) -> Column:
+    """INT bound of the contract, checked whatever the session's ANSI mode."""
+    return F.when(position > 2**31 - 1, F.raise_error(F.lit(messages.INDEX_TOO_LARGE))).otherwise(position).cast("int")
 
 
 def fit_encoders(training: DataFrame, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """User and item mappings from the training table only."""
+    """User and item mappings from the training table only.
+
+    ``order`` may be left out only for a table that carries the contract's row
+    order (``CONTRACT_ORDER``); anything else has no first-seen order and raises.
+    """
     missing = missing_columns(training.columns, {"user_id", "item_id"})
     if missing:
         raise ValueError(messages.ENCODER_MISSING_COLUMNS.format(columns=", ".join(missing)))
     if order is None:
-        order = [c for c in ("user_id", "timestamp_ms", "ordinal") if c in training.columns]
+        if missing_columns(training.columns, set(CONTRACT_ORDER)):
+            raise ValueError(messages.NO_ROW_ORDER)
+        order = CONTRACT_ORDER
     return fit_index(training, "user_id", order), fit_index(training, "item_id", order)
 
 

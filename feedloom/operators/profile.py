@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.predicates import falsy, missing_value
 from feedloom.functions.time import iso_utc_from_ms
-from feedloom.operators.scalars import combine_one_row
 from feedloom.schemas import METADATA_CONTENT_FIELDS, REVIEW_REQUIRED_FIELDS
 
 
@@ -20,10 +19,6 @@ def _truthy_ids(df: DataFrame, name: str) -> DataFrame:
     return df.select(col.alias("id")).where(col.isNotNull() & (col != "")).distinct()
 
 
-def _count_rows(df: DataFrame, alias: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(alias))
-
-
 def profile_reviews(records: DataFrame) -> DataFrame:
     """A1: one row of review-source statistics, in one pass over the records.
 
@@ -80,11 +75,11 @@ def raw_rating_histogram(records: DataFrame) -> DataFrame:
 
 
 def profile_metadata(metadata: DataFrame) -> DataFrame:
-    """Metadata record count and distinct truthy item ids."""
-    return combine_one_row(
-        _count_rows(metadata, "records"),
-        _count_rows(_truthy_ids(metadata, "parent_asin"), "unique_metadata_items"),
-    )
+    """Metadata record count and distinct truthy item ids, in one scan."""
+    per_id = metadata.groupBy("parent_asin").agg(F.count(F.lit(1)).alias("_n"))
+    return per_id.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("records"),
+        F.count_if(F.coalesce(F.col("parent_asin"), F.lit("")) != "").alias("unique_metadata_items"))
 
 
 def metadata_missing_fields(metadata: DataFrame) -> DataFrame:

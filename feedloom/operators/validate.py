@@ -180,12 +180,14 @@ def gate(findings: DataFrame, report_path: str | None = None) -> DataFrame:
 
     ``report_path`` receives ``summary/`` (is_valid, errors, warnings) and
     ``issues/`` (the findings).  The findings table holds at most one row per
-    rule, so the one-row report collected here is bounded.
+    rule, so it is brought over once and everything else is derived from those
+    rows: the validated tables are read a single time.
     """
-    report = validation_report(findings)
+    spark = findings.sparkSession
+    found = spark.createDataFrame(findings.collect(), findings.schema)
     if report_path:
-        findings.coalesce(1).write.mode("overwrite").json(f"{report_path}/issues")
-        report.coalesce(1).write.mode("overwrite").json(f"{report_path}/summary")
-    if not report.first()["is_valid"]:
+        found.coalesce(1).write.mode("overwrite").json(f"{report_path}/issues")
+        validation_report(found).coalesce(1).write.mode("overwrite").json(f"{report_path}/summary")
+    if not validation_report(found).first()["is_valid"]:
         raise ValidationError(messages.VALIDATION_FAILED)
-    return findings
+    return found

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators import clean, explore as eda, index, label, profile, validate
+from feedloom.session import scratch_path
 from feedloom.sources import jsonl, sinks
 
 
@@ -26,7 +27,8 @@ def build_tables(spark: SparkSession, reviews, metadata, out_dir: str, mode: str
                  on_cast_error: str = "raise") -> dict:
     """3.1.  ``mode`` governs malformed JSON lines, ``on_cast_error`` values the
     contract cannot cast; with ``"skip"`` those rows are written to
-    ``_quarantine/cast_failures`` instead of failing the job."""
+    ``_quarantine/cast_failures`` and ``_quarantine/item_cast_failures`` instead
+    of failing the job."""
     out = out_dir.rstrip("/")
     review_rec = jsonl.review_records(jsonl.ingest_records(spark, reviews, f"{out}/_parsed/reviews", mode))
     meta_rec = jsonl.metadata_records(jsonl.ingest_records(spark, metadata, f"{out}/_parsed/metadata", mode))
@@ -36,7 +38,9 @@ def build_tables(spark: SparkSession, reviews, metadata, out_dir: str, mode: str
     counts_i = sinks.write_observed(clean.clean_interactions(review_rec, on_cast_error=on_cast_error),
                                     inter_path, "interactions")
     stored = spark.read.parquet(inter_path)
-    items = clean.clean_items(meta_rec, stored)
+    if on_cast_error == "skip":
+        clean.item_cast_failures(meta_rec).write.mode("overwrite").parquet(f"{out}/_quarantine/item_cast_failures")
+    items = clean.clean_items(meta_rec, stored, on_cast_error=on_cast_error)
     counts_t = sinks.write_observed(items, f"{out}/items.parquet", "items",
                                     [F.count_if(F.length("item_text") == 0).alias("items_without_text")])
     summary = {"interactions": counts_i["rows"], "items": counts_t["rows"],
@@ -71,9 +75,11 @@ def gate_and_label(spark: SparkSession, interactions_path: str, items_path: str,
 
 def profile_sources(spark: SparkSession, reviews, metadata, mode: str = "failfast",
                     out_dir: str | None = None) -> dict[str, DataFrame]:
-    """Profiles as small frames; with ``out_dir`` each is also written as JSON."""
-    r = jsonl.review_records(jsonl.read_records(spark, reviews, mode))
-    m = jsonl.metadata_records(jsonl.read_records(spark, metadata, mode))
+    """Profiles as small frames; with ``out_dir`` each is also written as JSON (S6), coverage rounded
+    as the report shows it.  The raw files are parsed once and the profiles read what was stored."""
+    base = f"{out_dir.rstrip('/')}/_parsed" if out_dir else scratch_path(spark, "parsed")
+    r = jsonl.review_records(jsonl.ingest_records(spark, reviews, f"{base}/reviews", mode))
+    m = jsonl.metadata_records(jsonl.ingest_records(spark, metadata, f"{base}/metadata", mode))
     frames = {
         "reviews": profile.profile_reviews(r),
         "missing_required_fields": profile.review_missing_fields(r),
@@ -84,7 +90,10 @@ def profile_sources(spark: SparkSession, reviews, metadata, mode: str = "failfas
     }
     if out_dir:
         for name, frame in frames.items():
-            sinks.write_summary(frame, f"{out_dir.rstrip('/')}/raw_data_inspection/{name}")
+            if name == "join_coverage":
+                frame = frame.withColumn("reviewed_item_metadata_coverage", F.round("reviewed_item_metadata_coverage", 6))
+            # the histogram has a row per distinct rating text, which dirty input does not bound
+            sinks.write_summary(frame, f"{out_dir.rstrip('/')}/raw_data_inspection/{name}", single=name != "rating_distribution")
     return frames
 
 

@@ -179,6 +179,11 @@ USER_INDEX = """U AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1
   FROM (SELECT DISTINCT user_id AS value FROM I))"""
 
 
+def index_by_ordinal_sql(column: str) -> str:
+    return with_(EVENTS_BASE, f"""SELECT value, CAST(row_number() OVER (ORDER BY seen) - 1 AS INTEGER) AS idx
+  FROM (SELECT {column} AS value, min(ordinal) AS seen FROM I GROUP BY {column})""")
+
+
 def item_index_cte(name: str, src: str) -> str:
     return f"""{name} AS (SELECT item_id AS value,
     CAST(row_number() OVER (ORDER BY user_id, timestamp_ms, ordinal) - 1 AS INTEGER) AS idx
@@ -200,6 +205,12 @@ ORACLE: dict[str, str] = {
   (SELECT count(*) FILTER (WHERE length(item_text) = 0) FROM T) AS items_without_text"""),
     "items_without_text": with_(EVENTS_BASE, """SELECT count(*) FILTER (WHERE length(item_text) = 0)
   AS items_without_text FROM T"""),
+    # later copies of an item never win
+    "clean_items_with_copies": with_(EVENTS_BASE, f"SELECT {ITEM_OUT} FROM T"),
+    "items_without_text_bare": with_(EVENTS_BASE, """SELECT count(*) AS items_without_text FROM part
+  WHERE p_size <= 5 AND 'i' || CAST(p_partkey AS VARCHAR) IN (SELECT item_id FROM I)"""),
+    "item_index_by_ordinal": index_by_ordinal_sql("item_id"),
+    "user_index_by_ordinal": index_by_ordinal_sql("user_id"),
     "profile_reviews": with_(RAW_EVENTS, profile_reviews_sql("raw_events")),
     "review_missing_fields": with_(RAW_EVENTS, """SELECT field, missing FROM (
   SELECT 'parent_asin' AS field, count(*) FILTER (WHERE parent_asin IS NULL OR parent_asin = '') AS missing FROM raw_events
@@ -272,5 +283,11 @@ for _key in ("profile_reviews", "review_missing_fields", "raw_rating_histogram",
 ORACLE["stream_profile_reviews"] = ORACLE["profile_reviews"]
 ORACLE["stream_clean_interactions"] = ORACLE["clean_interactions"]
 
+ORACLE["source_audit_by_folder"] = """SELECT event_type AS folder, count(*) AS lines,
+  count(*) FILTER (WHERE event_id % 53 <> 0 AND event_id % 59 <> 0 AND event_id % 61 <> 0) AS records,
+  count(*) FILTER (WHERE event_id % 53 = 0) AS blank_lines,
+  count(*) FILTER (WHERE event_id % 53 <> 0 AND (event_id % 59 = 0 OR event_id % 61 = 0)) AS malformed_lines
+FROM events GROUP BY event_type"""
+
 ORACLE["source_audit_totals"] = """SELECT count(*) AS lines, count(*) AS records, CAST(0 AS BIGINT) AS blank_lines,
   CAST(0 AS BIGINT) AS malformed_lines, CAST(0 AS BIGINT) AS invalid_files FROM events"""

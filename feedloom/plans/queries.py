@@ -81,6 +81,16 @@ def q_preprocessing_summary(spark, d):
     return clean.preprocessing_summary(*stored_tables(spark, d))
 
 
+def q_clean_items_with_copies(spark, d):
+    inter = events_interactions(spark, d, sort=False)
+    return present(clean.clean_items(fx.items_with_copies(spark, d), inter))
+
+
+def q_items_without_text_bare(spark, d):
+    items = clean.clean_items(fx.bare_items(spark, d), events_interactions(spark, d, False), sort=False)
+    return items.agg(F.count_if(F.length("item_text") == 0).alias("items_without_text"))
+
+
 def q_items_without_text(spark, d):
     items = clean.clean_items(fx.raw_items(spark, d), events_interactions(spark, d, False), sort=False)
     return items.agg(F.count_if(F.length("item_text") == 0).alias("items_without_text"))
@@ -154,14 +164,25 @@ def q_top_items(spark, d):
     return explore.top_items(*stored_tables(spark, d))
 
 
+def events_index(spark, d, column):
+    """One mapping only; ``events_encoders`` fits both."""
+    return index.fit_index(events_interactions(spark, d, sort=False), column, INTERACTION_ORDER)
+
+
 def q_user_index(spark, d):
-    users, _ = events_encoders(spark, d)
-    return users
+    return events_index(spark, d, "user_id")
 
 
 def q_item_index(spark, d):
-    _, items = events_encoders(spark, d)
-    return items
+    return events_index(spark, d, "item_id")
+
+
+def q_item_index_by_ordinal(spark, d):
+    return index.fit_index(events_interactions(spark, d, sort=False), "item_id", ["ordinal"])
+
+
+def q_user_index_by_ordinal(spark, d):
+    return index.fit_index(events_interactions(spark, d, sort=False), "user_id", ["ordinal"])
 
 
 def q_encode_holdout(spark, d):
@@ -170,8 +191,8 @@ def q_encode_holdout(spark, d):
 
 
 def q_decode_indices(spark, d):
-    users, items = events_encoders(spark, d)
-    encoded = index.encode_interactions(lines_interactions(spark, d, False), users, items)
+    items = events_index(spark, d, "item_id")
+    encoded = index.apply_index(lines_interactions(spark, d, False).select("item_id"), items, "item_id", "item_idx")
     return index.invert_index(encoded.select("item_idx"), items, "item_idx", "decoded_item_id")
 
 
@@ -307,6 +328,12 @@ def q_source_audit(spark, d):
     return source_audit(spark, _events_jsonl(spark, d))
 
 
+def q_source_audit_by_folder(spark, d):
+    audit = source_audit(spark, fx.write_dirty_jsonl(spark, d, scratch_path(spark, "dirty-jsonl")))
+    return audit.groupBy(F.regexp_extract("file", "event_type=([^/]*)", 1).alias("folder")).agg(
+        *[F.sum(c).alias(c) for c in ("lines", "records", "blank_lines", "malformed_lines")])
+
+
 def q_source_audit_totals(spark, d):
     audit = q_source_audit(spark, d)
     return audit.agg(
@@ -320,6 +347,11 @@ QUERIES: dict[str, Query] = {
     "clean_items": q_clean_items,
     "preprocessing_summary": q_preprocessing_summary,
     "items_without_text": q_items_without_text,
+    "clean_items_with_copies": q_clean_items_with_copies,
+    "items_without_text_bare": q_items_without_text_bare,
+    "item_index_by_ordinal": q_item_index_by_ordinal,
+    "user_index_by_ordinal": q_user_index_by_ordinal,
+    "source_audit_by_folder": q_source_audit_by_folder,
     "profile_reviews": q_profile_reviews,
     "review_missing_fields": q_review_missing_fields,
     "raw_rating_histogram": q_raw_rating_histogram,

@@ -3,7 +3,8 @@
 A *review record* frame is what the sources hand to cleaning and profiling:
 ``ordinal`` (source order, any orderable type), ``user_id``, ``parent_asin``
 (STRING), ``rating`` (numeric or text), ``rating_text`` (the value as written),
-``timestamp`` (BIGINT, null when absent or not an integer), ``timestamp_present``,
+``timestamp`` (as written), ``timestamp_int`` (BIGINT, null when absent or not an integer),
+``timestamp_key`` (the value that tells events apart),
 ``verified_purchase``, ``helpful_vote`` / ``helpful_votes`` (optional).
 
 A *metadata record* frame has ``ordinal``, ``parent_asin`` and the content

@@ -50,7 +50,8 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -18,13 +18,13 @@ from feedloom.sources.jsonl import parse_lines, read_lines
 
 def source_audit(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     listing = (spark.read.format("binaryFile").load(paths if isinstance(paths, list) else [paths])
-               .select(F.col("path").alias("file"), F.col("length").alias("bytes")))
+               .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes")))
     parsed = parse_lines(read_lines(spark, paths, ignore_corrupt=True))
     stats = parsed.groupBy("file").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if("blank").alias("blank_lines"),
         F.count_if("malformed").alias("malformed_lines"),
-        # The text reader passes undecodable bytes through; check them here.
+        # Undecodable lines are malformed as well; they name the file's status.
         F.count_if(~F.is_valid_utf8("line")).alias("invalid_utf8_lines"),
         F.count_if(~F.col("blank") & ~F.col("malformed")).alias("records"),
         F.min_by("blank", "ordinal").alias("first_line_blank"),

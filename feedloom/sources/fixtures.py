@@ -84,6 +84,24 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def items_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_items`` and, of every third part, a later copy with another title and a price that is no number."""
+    items = raw_items(spark, sf_dir).withColumn("price", F.col("price").cast("string"))
+    copies = items.where(F.col("ordinal") % 3 == 0).withColumns({
+        "ordinal": F.col("ordinal") + 10**12, "title": F.lit("a later copy"), "price": F.lit("on request")})
+    return items.unionByName(copies)
+
+
+def bare_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_items`` in which the smallest parts have no text at all."""
+    bare = F.col("rating_number") <= 5
+    none = F.array().cast("array<string>")
+    return raw_items(spark, sf_dir).withColumns({
+        "title": F.when(~bare, F.col("title")), "store": F.when(~bare, F.col("store")),
+        "description": F.when(bare, F.array(F.lit(" \u00a0"))).otherwise(F.col("description")),
+        "features": F.when(bare, none).otherwise(F.col("features"))})
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
@@ -130,6 +148,17 @@ def dirty_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_dirty_jsonl(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """One folder per event type, with blank lines, cut-off objects and lines that are no object by value rule."""
+    e = _read(spark, sf_dir, "events")
+    event_id = F.col("event_id")
+    line = (F.when(event_id % 53 == 0, "").when(event_id % 59 == 0, '{"user_id": ').when(event_id % 61 == 0, "[1, 2]")
+            .otherwise(F.to_json(F.struct("event_id", "user_id"))))
+    (e.select(line.alias("value"), "event_type").write.mode("overwrite").partitionBy("event_type")
+     .option("compression", "gzip").text(path))
+    return path
+
+
 def write_jsonl(records: DataFrame, path: str) -> str:
     """Write a record view as gzip JSON lines in ordinal order (raw-file shape).
 

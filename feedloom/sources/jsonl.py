@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +45,32 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     v = F.when(~blank, F.try_parse_json(F.col("line")))
     parsed = lines.select("*", blank.alias("blank"), v.alias("v"))
     is_object = F.coalesce(F.schema_of_variant(F.col("v")).startswith("OBJECT"), F.lit(False))
-    return parsed.select("*", (~F.col("blank") & ~is_object).alias("malformed"))
+    readable = is_object & F.is_valid_utf8("line")  # the text reader passes undecodable bytes through
+    return parsed.select("*", (~F.col("blank") & ~readable).alias("malformed"))
 
 
-def line_number(lines: DataFrame, ordinal) -> int:
-    """1-based line number of ``ordinal`` inside its file (blank lines count)."""
-    block, row = F.col("ordinal.block"), F.col("ordinal.row")
-    before = (block < ordinal["block"]) | ((block == ordinal["block"]) & (row <= ordinal["row"]))
-    return lines.where((F.col("file") == ordinal["file"]) & before).count()
+def first_bad_line(spark: SparkSession, file: str) -> int | None:
+    """1-based number of the first malformed line of one file (blank lines count).
+
+    Only that file is read, in one plan: ordinals of another job may number the
+    same lines otherwise.  Lines of a block are numbered without gaps, so a row
+    per block (file size / split size of them) tells where the line is.
+    """
+    parsed = parse_lines(read_lines(spark, unquote(file)))
+    blocks = parsed.groupBy(F.col("ordinal.block").alias("block")).agg(
+        F.count(F.lit(1)).alias("lines"), F.min("ordinal.row").alias("first"),
+        F.min(F.when(F.col("malformed"), F.col("ordinal.row"))).alias("bad"))
+    before = 0
+    for b in blocks.orderBy("block").collect():
+        if b["bad"] is not None:
+            return before + b["bad"] - b["first"] + 1
+        before += b["lines"]
+    return None
+
+
+def _raise_malformed(spark: SparkSession, ordinal) -> None:
+    file = ordinal["file"]
+    raise ValueError(messages.INVALID_JSON.format(file=os.path.basename(unquote(file)), line=first_bad_line(spark, file)))
 
 
 def first_malformed(parsed: DataFrame):
@@ -67,13 +86,11 @@ def read_records(spark: SparkSession, paths: str | list[str], mode: str = "failf
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
-    lines = read_lines(spark, paths)
-    parsed = parse_lines(lines)
+    parsed = parse_lines(read_lines(spark, paths))
     if mode == "failfast":
         bad = first_malformed(parsed)
         if bad is not None:
-            n = line_number(lines, bad)
-            raise ValueError(messages.INVALID_JSON.format(file=os.path.basename(bad["file"]), line=n))
+            _raise_malformed(spark, bad)
     return parsed.where(~F.col("blank") & ~F.col("malformed")).select("ordinal", "line", "v")
 
 
@@ -85,15 +102,13 @@ def ingest_records(spark: SparkSession, paths: str | list[str], out_path: str,
     check then reads only the (small) malformed partition.  Returns the good
     records read back from storage.
     """
-    lines = read_lines(spark, paths)
-    parsed = parse_lines(lines).where(~F.col("blank")).select("ordinal", "line", "v", "malformed")
+    parsed = parse_lines(read_lines(spark, paths)).where(~F.col("blank")).select("ordinal", "line", "v", "malformed")
     parsed.write.mode("overwrite").partitionBy("malformed").parquet(out_path)
     stored = spark.read.parquet(out_path).withColumn("malformed", F.col("malformed").cast("boolean"))
     if mode == "failfast":
         bad = first_malformed(stored)
         if bad is not None:
-            n = line_number(lines, bad)
-            raise ValueError(messages.INVALID_JSON.format(file=os.path.basename(bad["file"]), line=n))
+            _raise_malformed(spark, bad)
     return stored.where(~F.col("malformed")).select("ordinal", "line", "v")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.schemas import INTERACTION_REQUIRED, ITEM_REQUIRED, missing_columns
+from feedloom.schemas import missing_columns
 
 
 def write_observed(df: DataFrame, path: str, name: str, extra=None, partition_by=None) -> dict:
@@ -22,15 +22,6 @@ def write_observed(df: DataFrame, path: str, name: str, extra=None, partition_by
     return obs.get
 
 
-def write_tables(interactions: DataFrame, items: DataFrame, out_dir: str) -> dict:
-    """S4 + O8 + A17: both contract tables and their counts."""
-    out = out_dir.rstrip("/")
-    i = write_observed(interactions, f"{out}/interactions.parquet", "interactions")
-    t = write_observed(items, f"{out}/items.parquet", "items",
-                       [F.count_if(F.length("item_text") == 0).alias("items_without_text")])
-    return {"interactions": i["rows"], "items": t["rows"], "items_without_text": t["items_without_text"]}
-
-
 def write_labeled(labeled: DataFrame, path: str) -> dict:
     """S5 (+ A11 counts observed while writing)."""
     return write_observed(labeled, path, "labeled",
@@ -46,14 +37,6 @@ def read_table(spark: SparkSession, path: str, required=()) -> DataFrame:
     return df
 
 
-def read_interactions(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, INTERACTION_REQUIRED)
-
-
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, ITEM_REQUIRED)
-
-
-def write_summary(one_row: DataFrame, path: str) -> None:
-    """A one-row summary frame as a single JSON file."""
-    one_row.coalesce(1).write.mode("overwrite").json(path)
+def write_summary(summary: DataFrame, path: str, single: bool = True) -> None:
+    """A summary frame as JSON; ``single``: of a few rows, in one file."""
+    (summary.coalesce(1) if single else summary).write.mode("overwrite").json(path)

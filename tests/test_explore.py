@@ -9,16 +9,14 @@ def _interactions(spark, rows):
     return df.withColumn("event_time", F.timestamp_millis("timestamp_ms"))
 
 
-def test_calculate_summary_reports_recommendation_sparsity(spark):
-    inter = _interactions(spark, [("user-1", "item-1", 5.0, 1), ("user-1", "item-2", 3.0, 2),
-                                  ("user-2", "item-1", 4.0, 3)])
-    items = spark.createDataFrame([("item-1",), ("item-2",)], "item_id string")
-    s = round_summary(dataset_summary(inter, items).first().asDict())
-    assert s["interactions"] == 3
-    assert s["positive_interaction_rate"] == 0.6667
-    assert s["matrix_density"] == 0.75
-    assert s["sparsity"] == 0.25
-    assert s["metadata_items"] == 2 and s["mean_rating"] == 4.0
+def test_summary_of_a_sparse_matrix(spark):
+    """Seven events on five of twelve cells, three of them by one user on one item."""
+    rows = [("kim", "mug", 5.0, t) for t in (1, 2, 3)] + [("kim", "jar", 1.0, 4), ("lee", "jar", 4.0, 5), ("lee", "tin", 2.0, 6), ("pat", "cup", 3.0, 7)]
+    listed = spark.createDataFrame([("mug",), ("jar",), ("tin",), ("cup",), ("pan",)], "item_id string")
+    s = round_summary(dataset_summary(_interactions(spark, rows), listed).first().asDict())
+    assert (s["interactions"], s["metadata_items"], s["mean_rating"]) == (7, 5, 3.571)
+    assert s["positive_interaction_rate"] == 0.5714
+    assert abs(s["matrix_density"] - 7 / 12) < 1e-9 and abs(s["sparsity"] - 5 / 12) < 1e-9
 
 
 def test_empty_summary_gives_nulls_not_errors(spark):

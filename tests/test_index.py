@@ -5,34 +5,52 @@ from feedloom.operators.index import (UNKNOWN_INDEX, apply_index, encode_interac
 
 
 def _training(spark):
+    """Ids whose first-seen order is neither alphabetic nor by frequency."""
     return spark.createDataFrame(
-        [(0, "user-1", "item-1"), (1, "user-2", "item-1"), (2, "user-1", "item-2")],
+        [(0, "zed", "quilt"), (1, "amy", "bowl"), (2, "zed", "apron"), (3, "bob", "bowl"), (4, "bob", "quilt")],
         "ordinal long, user_id string, item_id string")
 
 
-def test_encoders_assign_contiguous_indices_and_mark_unknowns(spark):
+def _mapping(df):
+    return {r.value: r.idx for r in df.collect()}
+
+
+def test_first_seen_numbers_and_cold_start(spark):
     users, items = fit_encoders(_training(spark), order=["ordinal"])
-    evaluation = spark.createDataFrame([(0, "user-1", "item-2"), (1, "new-user", "new-item")],
-                                       "k long, user_id string, item_id string")
-    rows = encode_interactions(evaluation, users, items).orderBy("k").collect()
-    assert index_size(users).first().size == 2 and index_size(items).first().size == 2
-    assert [r.user_idx for r in rows] == [0, UNKNOWN_INDEX]
-    assert [r.item_idx for r in rows] == [1, UNKNOWN_INDEX]
-    assert [r.user_id for r in rows] == ["user-1", "new-user"]
+    assert _mapping(users) == {"zed": 0, "amy": 1, "bob": 2} and _mapping(items) == {"quilt": 0, "bowl": 1, "apron": 2}
+    assert index_size(items).first().size == 3
+    later = spark.createDataFrame([("amy", "vase"), ("eve", "apron"), (None, "quilt")], "user_id string, item_id string")
+    got = {(r.user_id, r.item_id): (r.user_idx, r.item_idx) for r in encode_interactions(later, users, items).collect()}
+    assert got == {("amy", "vase"): (1, UNKNOWN_INDEX), ("eve", "apron"): (UNKNOWN_INDEX, 2), (None, "quilt"): (UNKNOWN_INDEX, 0)}
+
+
+def test_there_is_no_order_to_fall_back_to(spark):
+    for bare in (_training(spark), _training(spark).drop("ordinal")):
+        with pytest.raises(ValueError, match="row order"):
+            fit_encoders(bare)
+    with pytest.raises(ValueError, match="row order"):
+        fit_index(_training(spark), "user_id", [])
+
+
+def test_contract_table_has_its_order_by_default(spark):
+    rows = [("b", "x", 5, 0), ("a", "z", 9, 1), ("a", "y", 2, 2), ("b", "w", 1, 3)]
+    table = spark.createDataFrame(rows, "user_id string, item_id string, timestamp_ms long, ordinal long")
+    users, items = fit_encoders(table)
+    assert _mapping(users) == {"a": 0, "b": 1} and _mapping(items) == {"y": 0, "z": 1, "w": 2, "x": 3}
 
 
-def test_round_trip_then_inverse(spark, tmp_path):
+def test_saved_mapping_inverts(spark, tmp_path):
     _, items = fit_encoders(_training(spark), order=["ordinal"])
-    save_mapping(items, str(tmp_path / "items"))
-    restored = load_mapping(spark, str(tmp_path / "items"))
-    idx = spark.createDataFrame([(0, 0), (1, 1), (2, -1)], "k long, idx int")
-    got = invert_index(idx, restored, "idx", "value").orderBy("k").collect()
-    assert [r.value for r in got] == ["item-1", "item-2", None]
+    save_mapping(items, str(tmp_path / "m"))
+    back = load_mapping(spark, str(tmp_path / "m"))
+    asked = spark.createDataFrame([(2,), (-1,), (0,), (77,), (None,)], "idx int")
+    got = [(r.idx, r.value) for r in invert_index(asked, back, "idx", "value").collect()]
+    assert sorted(got, key=str) == sorted([(2, "apron"), (-1, None), (0, "quilt"), (77, None), (None, None)], key=str)
 
 
-def test_encoder_requires_user_and_item_columns(spark):
+def test_fit_needs_both_identifier_columns(spark):
     with pytest.raises(ValueError, match="missing columns"):
-        fit_encoders(spark.createDataFrame([("user-1",)], "user_id string"))
+        fit_encoders(spark.createDataFrame([("quilt", 1)], "item_id string, ordinal long"))
 
 
 def test_null_id_at_fit_raises_and_empty_mapping_is_not_fitted(spark):

@@ -1,22 +1,41 @@
 import gzip
+from urllib.parse import unquote
 
 import pytest
 
 from feedloom.sources.audit import source_audit
-from feedloom.sources.jsonl import ingest_records, quarantine, read_records
-
-
-def test_source_accepts_gzip_with_record_and_rejects_text_named_gz(spark, tmp_path, write_jsonl_gz):
-    good = write_jsonl_gz("dataset.jsonl.gz", [{"record": 1}])
-    bad = tmp_path / "bad.jsonl.gz"
-    bad.write_text("not a gzip file", encoding="utf-8")
-    blank = tmp_path / "blank.jsonl.gz"
-    with gzip.open(blank, "wt") as f:
-        f.write("\n{\"record\": 1}\n")
-    rows = {r.file.rsplit("/", 1)[-1]: r for r in source_audit(spark, [good, str(bad), str(blank)]).collect()}
-    assert rows["dataset.jsonl.gz"].valid and rows["dataset.jsonl.gz"].records == 1
-    assert not rows["bad.jsonl.gz"].valid and rows["bad.jsonl.gz"].status == "unreadable_or_empty"
-    assert rows["blank.jsonl.gz"].status == "first_line_blank"
+from feedloom.sources.jsonl import first_bad_line, ingest_records, quarantine, read_records
+
+
+def test_audit_tells_readable_files_from_others(spark, tmp_path, write_jsonl_gz):
+    """File names with characters that a URI escapes, and each kind of unfit file."""
+    paths = [write_jsonl_gz(n, ['{"k": 1}', "", '{"k": 2}']) for n in ("two words.jsonl.gz", "at=00%3A00.jsonl.gz")]
+    (tmp_path / "plain.jsonl.gz").write_text("these bytes are not compressed")
+    for name, data in {"late.jsonl.gz": b"  \n{}\n", "empty.jsonl.gz": b"", "latin.jsonl.gz": b'{"k": "\xe9"}\n'}.items():
+        with gzip.open(tmp_path / name, "wb") as f:
+            f.write(data)
+    paths += [str(tmp_path / n) for n in ("plain.jsonl.gz", "late.jsonl.gz", "empty.jsonl.gz", "latin.jsonl.gz")]
+    rows = {unquote(r.file.rsplit("/", 1)[-1]): r for r in source_audit(spark, paths).collect()}
+    for name in ("two words.jsonl.gz", "at=00%3A00.jsonl.gz"):
+        assert (rows[name].status, rows[name].records, rows[name].blank_lines) == ("ok", 2, 1)
+    assert {n: r.status for n, r in rows.items() if not r.valid} == {
+        "plain.jsonl.gz": "unreadable_or_empty", "late.jsonl.gz": "first_line_blank", "empty.jsonl.gz": "unreadable_or_empty", "latin.jsonl.gz": "invalid_utf8"}
+
+
+def test_undecodable_bytes_stop_the_ingest(spark, tmp_path):
+    path = tmp_path / "odd name.jsonl.gz"
+    with gzip.open(path, "wb") as f:
+        f.write(b'{"k": 1}\n\n{"k": "\xe9"}\n')
+    with pytest.raises(ValueError, match=r"Invalid JSON at odd name.jsonl.gz:3"):
+        ingest_records(spark, str(path), str(tmp_path / "out"))
+
+
+def test_line_number_comes_from_the_bad_file_alone(spark, tmp_path, write_jsonl_gz):
+    """A file that arrives between ingest and report shifts other jobs' row numbers, not this one's."""
+    bad = write_jsonl_gz("m.jsonl.gz", ['{"k": 1}'] * 7 + ["{cut", '{"k": 2}'])
+    assert first_bad_line(spark, f"file://{bad}") == 8
+    write_jsonl_gz("a.jsonl.gz", ['{"k": 0}'] * 100)
+    assert first_bad_line(spark, f"file://{bad}") == 8 and first_bad_line(spark, f"file://{tmp_path}/a.jsonl.gz") is None
 
 
 def test_malformed_line_names_file_and_line(spark, write_jsonl_gz):

@@ -5,8 +5,7 @@ from feedloom.operators.validate import (ValidationError, gate, referential_orph
                                          validation_report)
 
 
-def _interactions(spark, rows=None):
-    rows = rows or [("user-1", "item-1", 5.0, 1_000), ("user-2", "item-2", 3.0, 2_000)]
+def _interactions(spark, rows):
     df = spark.createDataFrame(rows, "user_id string, item_id string, rating float, timestamp_ms long")
     return df.withColumn("event_time", F.timestamp_millis("timestamp_ms"))
 
@@ -15,20 +14,20 @@ def _items(spark, rows):
     return spark.createDataFrame(rows, "item_id string, item_text string")
 
 
-def test_valid_data_has_no_errors(spark):
-    f = validation_findings(_interactions(spark), _items(spark, [("item-1", "A"), ("item-2", "B")]))
-    r = validation_report(f).first()
-    assert r.is_valid and r.errors == 0 and f.count() == 0
+def test_clean_tables_have_an_empty_report(spark):
+    f = validation_findings(_interactions(spark, [("kim", "mug", 1.0, 7), ("kim", "mug", 1.0, 8), ("lee", "jar", 4.5, 7)]),
+                            _items(spark, [("jar", "a jar"), ("mug", "."), ("tin", "unreviewed")]))
+    assert f.collect() == [] and validation_report(f).first().asDict() == {"is_valid": True, "errors": 0, "warnings": 0}
 
 
-def test_invalid_interactions_and_missing_item_are_reported(spark):
-    inter = _interactions(spark, [("user-1", "item-1", 5.0, 1_000), ("user-2", "missing-item", 6.0, 2_000)])
-    f = validation_findings(inter, _items(spark, [("item-1", "")]))
-    checks = {r.check: r for r in f.collect()}
-    assert not validation_report(f).first().is_valid
-    assert {"rating_range", "interaction_item_join", "missing_item_text"} <= set(checks)
-    assert checks["missing_item_text"].severity == "warning"
-    assert checks["rating_range"].affected_rows == 1
+def test_warnings_alone_leave_tables_valid_and_errors_do_not(spark):
+    good = _interactions(spark, [("kim", "mug", 5.0, 7)])
+    warned = validation_findings(good, _items(spark, [("mug", " \n"), ("jar", "")]))
+    assert [(r.check, r.severity, r.affected_rows) for r in warned.collect()] == [("missing_item_text", "warning", 2)]
+    assert validation_report(warned).first().asDict() == {"is_valid": True, "errors": 0, "warnings": 1}
+    bad = validation_findings(_interactions(spark, [("kim", "cup", 0.5, 7), ("lee", "cup", 5.5, 7)]), _items(spark, [("mug", "m")]))
+    assert {r.check: r.affected_rows for r in bad.collect()} == {"rating_range": 2, "interaction_item_join": 2}
+    assert not validation_report(bad).first().is_valid
 
 
 def test_every_rule_and_null_semantics(spark):
