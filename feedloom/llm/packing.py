@@ -37,7 +37,8 @@ ROUNDS = 600
 STEP = 0.5
 RATE = 1.0
 RANK_ROWS = 8192  # pieces of one length that are numbered together, about
-MEMO = 1 << 18  # words, and runs of them, that a worker remembers at least
+MEMO = 1 << 19  # words, and runs of them, that a worker remembers
+SLICE_BYTES = 2 << 20
 
 
 #: Words that are one run of letters and one of punctuation, both of characters that every Unicode version
@@ -45,29 +46,13 @@ MEMO = 1 << 18  # words, and runs of them, that a worker remembers at least
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)\Z")
 
 
-class _Known(dict):
-    """Ids by key.  When there are MEMO of them, those not used since the last such moment are forgotten."""
-
-    def __init__(self):
-        super().__init__()
-        self.before: dict = {}
-
-    def missing(self, keys: set) -> list:
-        if len(self) >= MEMO:
-            self.before = dict(self)
-            self.clear()
-        new = [k for k in keys if k not in self]
-        if self.before:
-            old = self.before
-            self.update((k, old[k]) for k in new if k in old)
-            new = [k for k in new if k not in old]
-        return new
-
-
 class WordIds:
-    """Token ids of words as little-endian 32-bit integers, each word encoded once.  For tokenizers that drop
-    white space and end every run of letters or punctuation in a token marked so, the ids of a text are
-    those of its words one after the other, and those of a word are those of its runs."""
+    """Token ids of words, each word encoded once while it is remembered.
+
+    For tokenizers that drop white space and end every run of letters or punctuation in a token
+    marked so, the ids of a text are those of its words one after the other, and those of a word are
+    those of its runs.  Words are known by 64-bit hashes; their ids lie in one pool.  When MEMO words
+    are known, all but those of the slice at hand are forgotten."""
 
     def __init__(self, path: str, word_end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,30 +62,65 @@ class WordIds:
         vocabulary = self.encoder.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(word_end)]] = True
-        self.words, self.runs = _Known(), _Known()
-
-    def learn(self, words: list[bytes]) -> dict:
-        new = self.words.missing(set(words))
-        simple, other, needed, match = [], [], set(), _SIMPLE.match
-        for w in new:
-            m = match(w.decode("utf-8", "replace"))
+        self.known = np.zeros(0, np.uint64)  # ascending
+        self.first = np.zeros(1, np.int64)   # of each known word's ids in the pool (one more entry)
+        self.pool = np.zeros(0, "<u4")
+        self.runs: dict[str, bytes] = {}
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and where each word's begin (one more entry)."""
+        hashes = tx.mix(tx.word_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
+        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != distinct[inside]
+        if new.any():
+            self._learn(distinct[new], [data[a:b].tobytes() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())],
+                        place[~new])
+            place = np.searchsorted(self.known, distinct)
+        begin, size = self.first[place][which], np.diff(self.first)[place][which]
+        edges = np.concatenate([[0], np.cumsum(size)])
+        return self.pool[np.repeat(begin - edges[:-1], size) + np.arange(edges[-1])], edges
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes], used: np.ndarray) -> None:
+        ids = self._ids(words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        fresh = np.frombuffer(b"".join(ids), "<u4")
+        keep = np.arange(len(self.known)) if len(self.known) + len(hashes) <= MEMO else used
+        kept_sizes = np.diff(self.first)[keep]
+        order = np.argsort(np.concatenate([self.known[keep], hashes]), kind="stable")
+        begin = np.concatenate([self.first[keep], len(self.pool) + np.cumsum(sizes) - sizes])
+        size = np.concatenate([kept_sizes, sizes])[order]
+        self.known = np.concatenate([self.known[keep], hashes])[order]
+        edges = np.concatenate([[0], np.cumsum(size)])
+        pool = np.concatenate([self.pool, fresh])
+        self.pool = pool[np.repeat(begin[order] - edges[:-1], size) + np.arange(edges[-1])]
+        self.first = edges
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        if len(self.runs) > MEMO:
+            self.runs.clear()
+        parts, other, needed, match, runs = [], [], set(), _SIMPLE.match, self.runs
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            m = match(text)
             if m is None:
-                other.append(w)
+                parts.append((None, len(other)))
+                other.append(text)
                 continue
             letters, marks = m.groups()
             letters = letters.lower()
-            simple.append((w, letters, marks))
-            needed.add(letters)
-            if marks:
+            parts.append((letters, marks))
+            if letters not in runs:
+                needed.add(letters)
+            if marks and marks not in runs:
                 needed.add(marks)
-        runs = self.runs.missing(needed)
-        for k in range(0, len(runs), 1 << 14):
-            self._learn_runs(runs[k:k + (1 << 14)])
-        ids = self.runs
-        self.words.update([(w, ids[a] + ids[b] if b else ids[a]) for w, a, b in simple])
-        found = self.encoder.encode_batch([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
-        self.words.update(zip(other, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        return self.words
+        needed = list(needed)
+        for k in range(0, len(needed), 1 << 14):
+            self._learn_runs(needed[k:k + (1 << 14)])
+        found = [np.array(e.ids, "<u4").tobytes() for e in self.encoder.encode_batch(other, add_special_tokens=False)]
+        return [found[b] if a is None else runs[a] + runs[b] if b else runs[a] for a, b in parts]
 
     def _learn_runs(self, runs: list[str]) -> None:
         ids = np.array(self.encoder.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, "<u4")
@@ -130,12 +150,14 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         _encoders[tokenizer_path] = memo
         for batch in batches:
             column = tx.text_array(batch.column(1))
-            for a, b in tx.slices(column):
-                texts = [t.as_buffer().to_pybytes().split() for t in column.slice(a, b - a)]
-                ids_of = memo.learn([w for words in texts for w in words])
+            for a, b in tx.slices(column, SLICE_BYTES):
+                data, offsets = tx.raw(column.slice(a, b - a))
+                starts, ends, first = tx.word_spans(data, offsets)
+                flat, edges = memo.encode(data, starts, ends)
+                flat, bounds = flat.tobytes(), (4 * edges[first]).tolist()
                 rows = []
-                for i, words in enumerate(texts):
-                    ids = b"".join(map(ids_of.__getitem__, words)) + end
+                for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+                    ids = flat[low:high] + end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at:at + 4 * capacity]
                         rows.append((a + i, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
