@@ -1,3 +1,50 @@
-"""DuckDB SQL for the driver queries that SQL can express."""
+"""DuckDB SQL for the driver queries that SQL can express on whole tables.
 
-ORACLE: dict[str, str] = {}
+The others have none: token ids and hashed models are no SQL, the mix depends on
+seeded hashes, spans of successive matches have no places in DuckDB, and every
+100-byte string of every text is too much there.  tests/llm checks those against
+brute force, exact round trips and held-out accuracy.
+"""
+
+#: Components: ids that reach each other over ``links`` (a, b), both ways round.
+_REACH = """reach AS (
+  SELECT id, id AS r FROM nodes
+  UNION
+  SELECT l.a, reach.r FROM reach JOIN links l ON reach.id = l.b),
+components AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc": """WITH hashed AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+placed AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS f FROM hashed)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((CAST('0x' || substr(h, CAST(i * 5 + 1 AS BIGINT), 5) AS INTEGER) >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to
+FROM placed""",
+    "op5_jaccard_join": f"""WITH RECURSIVE worded AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3]) END) AS s FROM worded),
+nodes AS (SELECT id, CAST(len(s) AS BIGINT) AS n FROM shingled),
+flat AS (SELECT id, unnest(s) AS g FROM shingled),
+shared AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM flat x JOIN flat y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN nodes x ON x.id = a JOIN nodes y ON y.id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+{_REACH}
+SELECT id AS doc_id, n AS n_shingles, component_id FROM nodes JOIN components USING (id)""",
+    "op6_embedding_dedup": f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fit AS (
+  SELECT * FROM nodes WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM fit x JOIN fit y ON x.label = y.label AND x.id <> y.id AND len(x.e) = len(y.e)
+  WHERE list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))) >= 0.93),
+{_REACH},
+degrees AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
+FROM components LEFT JOIN degrees USING (id)""",
+}
