@@ -36,8 +36,8 @@ from feedloom.llm import text as tx
 from feedloom.llm.components import components
 from feedloom.session import materialize
 
-WORDS = 4
-PERCENT = 85
+WORDS = 5
+PERCENT = 80
 BUCKET_ROWS = 1 << 20  # shingles in a bucket, about
 SLICE_BYTES = 4 << 20
 SLICE_SHINGLES = 1 << 20

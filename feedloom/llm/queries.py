@@ -39,7 +39,7 @@ def op4_quality_rules(spark, sf_dir):
 
 
 def op5_jaccard_join(spark, sf_dir):
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def op6_embedding_dedup(spark, sf_dir):

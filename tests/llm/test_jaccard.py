@@ -36,7 +36,7 @@ def brute(rows, percent=85):
 
 
 def got(df):
-    return sorted(repr(tuple(r)) for r in jj.jaccard_components(df).collect())
+    return sorted(repr(tuple(r)) for r in jj.jaccard_components(df, words=4, percent=85).collect())
 
 
 @pytest.mark.parametrize("table", ["hostile", "clashing", "nothing"])
