@@ -7,7 +7,7 @@ The number of rounds grows with the logarithm of the longest chain.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedloom.session import materialize
@@ -27,17 +27,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """``links`` as a written table, and its number of rows and checksum, taken while it is written."""
+    seen = Observation()
+    rows = links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+    table = materialize(rows, "links")
+    return table, (seen.get["n"], seen.get["sum"])
 
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` (u, v) of a sortable id -> (node, component): the least id each linked node can reach."""
     high, low = F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")
-    now = materialize(links.where("u != v").select(high, low).distinct(), "links")
-    before, state = None, _state(now)
+    now, state = _written(links.where("u != v").select(high, low).distinct())
+    before = None
     while state != before and state[0]:
-        now = materialize(_small_star(_large_star(now).distinct()).distinct(), "links")
-        before, state = state, _state(now)
+        before = state
+        now, state = _written(_small_star(_large_star(now)).distinct())
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
