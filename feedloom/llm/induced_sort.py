@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from feedloom.llm.text import mix, powers
+
 CHUNK = 1 << 17       # suffixes handled at once
 RANGE = 1 << 13       # suffixes in a range of several characters, about
 HELD = 1 << 21        # queued tuples in memory; beyond it they go to disk
@@ -336,30 +338,33 @@ class Sorter:
 
     def names(self, stars: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """S* positions by their S*-substrings, the name of each, and how many (the first) are sentinels:
-        one that follows another sentinel is no S*."""
-        by_char = stars[np.argsort(self.x[stars], kind="stable")]
-        order = File(self.scratch("order"), 1)
-        for position, _ in self.induce(by_char, None, 0):
-            star = np.asarray(self.small[position]) & (position > 0)
-            star[star] = ~self.small[position[star] - 1]
-            order.add(position[star][:, None])
-        falling = order.done()[:, 0]
-        ends = stars[self.x[stars] < self.sentinels]
-        ends = ends[np.argsort(self.x[ends])]
-        ordered = np.concatenate([ends, falling[::-1]])
+        one that follows another sentinel is no S*.
+
+        A name is the place of the first of its equals.  Character by character, with its type, the
+        substrings that are still alike are put in order among themselves."""
         length = np.diff(np.append(stars, self.n - 1)) + 1
-        length_of = length[np.searchsorted(stars, ordered)]
-        new = np.ones(len(ordered), bool)
-        alike = np.flatnonzero(length_of[1:] == length_of[:-1]) + 1
-        step = 0
+        chars = np.asarray(self.x[stars], np.int64)
+        place = np.searchsorted(np.sort(chars), chars)
+        alike = np.flatnonzero((np.bincount(place, minlength=len(stars) + 1)[place] > 1) & (length > 1))
+        step = 1
         while len(alike):
-            same = self.x[ordered[alike] + step] == self.x[ordered[alike - 1] + step]
-            alike = alike[same]
+            at = stars[alike] + step
+            key = 2 * np.asarray(self.x[at], np.int64) + self.small[at]
+            order = np.lexsort((key, place[alike]))
+            alike, key = alike[order], key[order]
+            group = place[alike]
+            edge = np.concatenate([[True], (group[1:] != group[:-1]) | (key[1:] != key[:-1])])
+            first = np.flatnonzero(edge)
+            begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            size = np.diff(np.append(first, len(alike)))
+            before = np.repeat(first, size) - np.repeat(begin, np.diff(np.append(begin, len(alike))))
+            place[alike] = group + before
             step += 1
-            over = length_of[alike] == step
-            new[alike[over]] = False
-            alike = alike[~over]
-        return ordered, np.cumsum(new) - 1, len(ends)
+            alike = alike[(np.repeat(size, size) > 1) & (length[alike] > step)]
+        order = np.argsort(place, kind="stable")
+        ranked = place[order]
+        name = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])) if len(order) else order
+        return stars[order], name, int((chars < self.sentinels).sum())
 
     def sorted_stars(self) -> np.ndarray:
         stars = self.stars()
@@ -374,17 +379,38 @@ class Sorter:
         ends = ends[np.argsort(reduced[ends])]
         return stars[np.concatenate([ends, falling[::-1]])]
 
+    def prefixes(self, seeds: np.ndarray, depth: int) -> np.ndarray:
+        """Prefix that each of the S* suffixes shares with the one before it, counted in the text in steps of
+        powers of two: equal spans have equal sums of hashed characters times powers of an odd number."""
+        shared = np.zeros(len(seeds), np.int64)
+        if len(seeds) < 2:
+            return shared
+        sums = np.zeros(self.n + 1, np.uint64)
+        down = np.empty(self.n + 1, np.uint64)
+        scale = np.ones(1, np.uint64)
+        for a in range(0, self.n, CHUNK):
+            block = np.asarray(self.x[a:a + CHUNK]).astype(np.uint64)
+            up, back = powers(len(block))
+            sums[a + 1:a + 1 + len(block)] = sums[a] + np.cumsum(mix(block + np.uint64(1)) * up[:-1] * scale)
+            down[a:a + len(block)] = back[:-1] * (down[a - 1:a] * back[1:2] if a else scale)
+            scale = scale * up[-1:]
+        first, second = seeds[1:].copy(), seeds[:-1].copy()
+        step = 1 << (depth - 1).bit_length()
+        found = np.zeros(len(first), np.int64)
+        while step:
+            ok = (np.maximum(first, second) + step <= self.n) & (found + step <= depth)
+            i, j = first[ok], second[ok]
+            ok[ok] = (sums[i + step] - sums[i]) * down[i] == (sums[j + step] - sums[j]) * down[j]
+            first[ok] += step
+            second[ok] += step
+            found[ok] += step
+            step >>= 1
+        shared[1:] = found
+        return shared
+
     def falling(self, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All suffixes but the sentinels in descending order, with the prefix (up to ``depth``) that each
         shares with the one before it."""
         seeds = self.sorted_stars()
-        shared = np.zeros(len(seeds), np.int64)
-        alike = np.arange(1, len(seeds))
-        while len(alike):  # of S* suffixes the common prefix is counted in the text
-            a, b = seeds[alike] + shared[alike], seeds[alike - 1] + shared[alike]
-            ok = np.maximum(a, b) < self.n
-            alike, a, b = alike[ok], a[ok], b[ok]
-            alike = alike[self.x[a] == self.x[b]]
-            shared[alike] += 1
-            alike = alike[shared[alike] < depth]
+        shared = self.prefixes(seeds, depth)
         yield from self.induce(seeds, shared, depth)
