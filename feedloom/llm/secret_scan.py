@@ -5,7 +5,10 @@ only candidates; their values are hashed and counted over the whole corpus by
 distinct repositories and owners.  A value that few owners hold looks like a
 live credential and its span is added; one that many hold is a copied example
 and is not.  Base spans always stay; how many of a document's spans look live
-is reported.
+is reported.  A private key reaches to its END line (without one, as far as its
+body goes on) and is known by its base64 body, however it is indented, escaped
+or headed; a BEGIN line without a body tells nothing of its key and always
+looks live.
 
 Counting goes by (value, owner, repository) first, so a value copied into a
 third of all rows is one row per task before it moves; the join back is on
@@ -24,11 +27,20 @@ from feedloom.session import materialize
 
 #: Fixed patterns of the base kinds: the value is the numbered group, with at least so many characters.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+#: A private key: all up to the END line, if no other line of five hyphens comes first; else header
+#: lines and base64 lines, indented, quoted or with escaped line ends.
+_GAP = r"""(?:\\{1,4}[nrt]|[\s"'+,>#|*]){0,80}+"""
+PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+       r"(?:(?:[^-]++|-(?!----))*+-{5,9}END [A-Z ]{0,40}PRIVATE KEY-----"
+       rf"|(?:{_GAP}[A-Za-z][A-Za-z0-9-]{{0,40}}:[^\n\r\\]*+)*+(?:{_GAP}[A-Za-z0-9+/=]{{16,}}+)*+(?:{_GAP}[A-Za-z0-9+/]++=++)?+"
+       r"[A-Za-z0-9+/=\n\r]*)")
+#: What is no part of a key's body: its first and last line, escapes, header lines, all but base64.
+PEM_FRAME = r"-{5,9}(?:BEGIN|END) [A-Z ]{0,40}PRIVATE KEY-----|\\+[nrt]|[A-Za-z][A-Za-z0-9-]{0,40}:[^\n\r\\]*+|[^A-Za-z0-9+/=]"
 KINDS = {
     "assign": (ASSIGN, 2, 6),
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]+", 0, 24),
-    "pem": (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\n\r]*", 0, 1),
+    "pem": (PEM, 0, 0),
     "service": (r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,}"
                 r"|eyJ[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,})", 0, 1),
     "login": (r"://[^\s/:@]{1,64}:([^\s/@]{6,64})@", 1, 6),
@@ -68,6 +80,8 @@ def _spans(text: Column, no: int, kind: str) -> Column:
         pattern = {"hex": r"[0-9a-f]{24,}", "access": r"AKIA[A-Z0-9]{16,}"}[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    if kind == "pem":
+        values = F.transform(found, lambda m: F.regexp_replace(m, PEM_FRAME, ""))
     lengths = F.zip_with(F.split(text, pattern, -1), found, lambda gap, m: F.struct(
         F.length(gap).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("long")))
     rows = F.zip_with(lengths, values, lambda x, v: F.struct(x["gap"].alias("gap"), x["long"].alias("long"), v.alias("value")))
@@ -111,9 +125,10 @@ def _judged(found: DataFrame, max_owners: int, max_repositories: int) -> DataFra
                                  F.coalesce("repository", F.lit("")).alias("repository")))
     live = known.where((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select(
         "value_hash", F.lit(True).alias("live"))
+    bare = (F.col("s.kind") == "pem") & (F.col("s.value") == "")
     verdict = (per.select("row", "s", "value_hash").join(live, "value_hash", "left")
                .groupBy("row").agg(F.collect_list(F.struct(
-                   "s.start", "s.kind_no", "s.end", "s.kind", F.coalesce("live", F.lit(False)).alias("live"))).alias("judged")))
+                   "s.start", "s.kind_no", "s.end", "s.kind", F.coalesce(F.col("live"), bare).alias("live"))).alias("judged")))
     spans = F.array_sort(F.coalesce("judged", F.array().cast(
         "array<struct<start:int,kind_no:int,end:int,kind:string,live:boolean>>")))
     return (found.drop("all_spans").join(verdict, "row", "left").withColumn("judged", spans)

@@ -265,3 +265,40 @@ def test_redaction_leaves_other_rows_alone(request, table):
     got = [tuple(r) for r in out.select("doc_id", "text").collect()]
     assert len(got) == df.count() and all(got.count(r) >= clean.count(r) for r in clean)
     assert not any(t and "hunter2" in t for _, t in got)
+
+
+def pem_forms(body, name="RSA PRIVATE KEY"):
+    """A key as it lies in a file, in JSON, indented in YAML, with headers and cut off."""
+    lines = [body[k:k + 64] for k in range(0, len(body), 64)]
+    begin, end = f"-----BEGIN {name}-----", f"-----END {name}-----"
+    whole = [begin, *lines, end]
+    heads = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]
+    return ["\n".join(whole), "\\n".join(whole), "\n    ".join(whole), "\r\n".join([begin, *heads, *lines, end]),
+            "\\n".join([begin, *heads, *lines, end]), "\n".join(f"-{x}" for x in whole)[1:], "\n  ".join(whole[:-1])]
+
+
+def test_private_keys_are_whole_spans_known_by_their_bodies(spark):
+    r = random.Random(4)
+    key = lambda: "MII" + "".join(r.choices("ABCDEFGHabcdefgh0123456789+/", k=1 + 64 * 5)) + "=="
+    copied = key()
+    rows, want = [], {}
+    for i in range(42):  # each of its own source: a live key in every form, and one example that all hold
+        live, example = pem_forms(key())[i % 7], pem_forms(copied)[i % 7]
+        text = f"é key: {live}" + (" . and " if i % 7 == 6 else "\" and ") + example + "\n... done"
+        rows.append((i, text, "en", f"source{i}"))
+        want[i] = "é key: [secret]" + text[7 + len(live):]
+    rows += [(100 + i, "first line -----BEGIN PRIVATE KEY----- of it", "en", f"source{i}") for i in range(20)]
+    want.update({100 + i: "first line [secret] of it" for i in range(20)})
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df, owner=F.col("source"), repository=F.col("lang")).collect()}
+    for i, text in want.items():
+        assert clean[i] == text, i
+    for x in secret_scan.scan(df, owner=F.col("source"), repository=F.col("lang")).collect():
+        assert "pem:" in x.spans and x.n_live >= 1, x.doc_id
+
+
+def test_a_long_text_after_a_begin_line_is_no_key(spark):
+    tail = "a - b\n" * 200000
+    df = spark.createDataFrame([(1, "-----BEGIN PRIVATE KEY-----  " + tail, "s")], "doc_id long, text string, source string")
+    (row,) = secret_scan.redact(df, owner=F.col("source")).collect()
+    assert row.text == "[secret]  " + tail
