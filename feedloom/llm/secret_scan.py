@@ -43,7 +43,7 @@ KINDS = {
     "pem": (PEM, 0, 0),
     "service": (r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,}"
                 r"|eyJ[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,})", 0, 1),
-    "login": (r"://[^\s/:@]{1,64}:([^\s/@]{6,64})@", 1, 6),
+    "login": (r"://[^\s/:@]++:([^\s/@]{6,}+)@", 1, 6),
     "opaque": (r"[A-Za-z0-9_-]{32,}", 0, 32),
 }
 BASE = ("assign", "access", "hex")
@@ -55,7 +55,7 @@ HINTS = {
     "hex": r"[0-9a-f]{24}",
     "pem": r"-----BEGIN ",
     "service": r"gh[pousr]_|xox[abpr]-|sk_live_|eyJ",
-    "login": r"://[^\s/:@]{1,64}:",
+    "login": r"://[^\s/:@]++:",
     "opaque": r"[A-Za-z0-9_-]{32}",
 }
 MAX_OWNERS = 2

@@ -302,3 +302,10 @@ def test_a_long_text_after_a_begin_line_is_no_key(spark):
     df = spark.createDataFrame([(1, "-----BEGIN PRIVATE KEY-----  " + tail, "s")], "doc_id long, text string, source string")
     (row,) = secret_scan.redact(df, owner=F.col("source")).collect()
     assert row.text == "[secret]  " + tail
+
+
+def test_logins_of_any_length(spark):
+    token = "é.b~" * 23
+    rows = [(1, f"at https://{'u' * 80}:{token}@host/x and", "a"), (2, f"git://me:{token[:90]}@host", "b"), (3, "http://u:short@h http://u:sixsix@h", "c")]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), owner=F.col("source")).collect()}
+    assert got == {1: "login:8:185", 2: "login:3:100", 3: "login:21:33"}
