@@ -53,7 +53,7 @@ def op7_mixing(spark, sf_dir):
 def op8_token_counts(spark, sf_dir):
     import public_tokenizers
 
-    vocabulary = token_counts.sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    vocabulary = token_counts.whole_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 

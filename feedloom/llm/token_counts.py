@@ -3,7 +3,10 @@
 A trie of the vocabulary gets failure links, and with each link the number of
 pieces that following it completes.  A word is read once, left to right; the
 number of its pieces is the sum of those counts, and no piece is ever built.
-A word that the vocabulary cannot cover is one unknown token.
+A word that begins with no piece that begins words begins with the lone
+word-start piece, and a character that no piece covers is its UTF-8 bytes, a
+piece each.  Only where the vocabulary lacks these is a word that it cannot
+cover one unknown token.
 
 Words are maximal runs other than space and 0x09-0x0D.  Defined results: null
 and empty texts have no tokens; repeated rows are counted each; a null id is
@@ -24,11 +27,18 @@ MEMO = 1 << 17  # words remembered per task; beyond it the memory starts anew
 _UNKNOWN = 1 << 40
 
 
+def _byte_pieces(ch: str) -> int:
+    return len(ch.encode("utf-8", "replace"))
+
+
 class LongestMatch:
-    """The automaton over two tries: pieces that begin words, and pieces that continue them."""
+    """The automaton over two tries: pieces that begin words, and pieces that continue them.
+
+    With ``lone`` there is a piece that only marks a word's begin, with ``by_bytes`` a piece for every byte."""
 
-    def __init__(self, begin: list[str], inside: list[str]):
+    def __init__(self, begin: list[str], inside: list[str], lone: bool = False, by_bytes: bool = False):
         self.next: list[dict[str, int]] = [{}, {}]  # node 0: a word's begin; node 1: within a word
+        self.by_bytes = by_bytes
         ends = [False, False]
         for root, pieces in ((0, begin), (1, inside)):
             for piece in pieces:
@@ -43,6 +53,8 @@ class LongestMatch:
                 ends[node] |= node > 1
         self.fail: list[int] = [-1] * len(self.next)
         self.popped: list[int] = [0] * len(self.next)
+        if lone or by_bytes:  # no piece begins the word: its mark alone, then as within a word
+            self.fail[0], self.popped[0] = 1, 1 if lone else len(WORD_START.encode())
         level = [0, 1]
         while level:  # nodes nearer to a root come first: their links are known
             below = []
@@ -58,6 +70,8 @@ class LongestMatch:
                         at = self.fail[at]
                     if at >= 0:
                         self.fail[child], self.popped[child] = self.next[at][ch], count
+                    elif by_bytes:  # no piece begins with the character
+                        self.fail[child], self.popped[child] = 1, count + _byte_pieces(ch)
             level = below
 
     def pieces(self, word: str) -> int:
@@ -68,6 +82,10 @@ class LongestMatch:
             to = step[node].get(ch)
             while to is None:
                 if fail[node] < 0:
+                    if node == 1 and self.by_bytes:
+                        count += _byte_pieces(ch)
+                        to = 1
+                        break
                     return 0
                 count += popped[node]
                 node = fail[node]
@@ -95,20 +113,39 @@ class _Memo(dict):
         return n
 
 
-def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
-    """Pieces that begin words and pieces that continue them, from a sentencepiece model file."""
+def _model(path: str):
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def _pieces(model) -> list[str]:
     ids = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    pieces = [model.id_to_piece(i) for i in ids]
+    return [model.id_to_piece(i) for i in ids]
+
+
+def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
+    """Pieces that begin words and pieces that continue them, from a sentencepiece model file: without
+    the lone word-start piece and the byte pieces, so that words are left uncovered."""
+    pieces = _pieces(_model(path))
     return ([p[1:] for p in pieces if p.startswith(WORD_START) and len(p) > 1],
             [p for p in pieces if not p.startswith(WORD_START)])
 
 
-def token_counts(df: DataFrame, vocabulary: tuple[list[str], list[str]], id_col: str = "doc_id",
+def whole_vocabulary(path: str) -> tuple[list[str], list[str], bool, bool]:
+    """All pieces of a sentencepiece model file: those that begin words, those that continue them (all: a
+    word may hold the word-start character), and whether the lone word-start and all byte pieces are there."""
+    model = _model(path)
+    pieces = _pieces(model)
+    return ([p[1:] for p in pieces if p.startswith(WORD_START) and len(p) > 1], pieces, WORD_START in pieces,
+            sum(model.is_byte(i) for i in range(model.vocab_size())) == 256)
+
+
+def token_counts(df: DataFrame, vocabulary: tuple, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """Per row: id, n_words, n_tokens (an unknown word is one) and n_unknown."""
+    """Per row: id, n_words, n_tokens (an unknown word is one) and n_unknown.
+
+    ``vocabulary`` is what ``LongestMatch`` takes: two lists of pieces, lone word-start, byte pieces."""
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def maker():

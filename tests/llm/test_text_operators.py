@@ -124,6 +124,37 @@ def test_real_vocabulary_equals_greedy_longest_match():
         assert automaton.pieces(word) == greedy(word, *sets)
 
 
+def whole_greedy(word, pieces, by_bytes=True):
+    """Longest match over the word with its mark in front; uncovered characters are bytes."""
+    word, at, n = "▁" + word, 0, 0
+    while at < len(word):
+        end = next((e for e in range(min(len(word), at + 40), at, -1) if word[at:e] in pieces), None)
+        n, at = (n + 1, end) if end else (n + len(word[at].encode()), at + 1)
+    return n
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcdé語x▁", min_size=1, max_size=12), st.booleans())
+def test_automaton_with_lone_start_and_bytes_equals_greedy(word, lone):
+    pieces = ["▁" + p for p in BEGIN] + INSIDE + ["xab", "▁▁"] + ["▁"] * lone
+    begin = [p[1:] for p in pieces if p[0] == "▁" and len(p) > 1]
+    assert token_counts.LongestMatch(begin, pieces, lone, True).pieces(word) == whole_greedy(word, frozenset(pieces))
+
+
+def test_whole_vocabulary_covers_every_word():
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = frozenset(model.id_to_piece(i) for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
+    automaton, r = token_counts.LongestMatch(*token_counts.whole_vocabulary(path)), random.Random(2)
+    assert automaton.pieces("2024") == 5 == len(model.encode("2024"))
+    for _ in range(3000):
+        word = r.choice("1한我語é😀▁a") + "".join(r.choices("abcdeinorstué.,127我们語한국𓀀😀▁", k=r.randint(0, 15)))
+        assert automaton.pieces(word) == whole_greedy(word, pieces)
+
+
 @pytest.mark.parametrize("table", TABLES)
 def test_counts_of_odd_rows(request, table):
     df = request.getfixturevalue(table)
