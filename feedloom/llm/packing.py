@@ -4,10 +4,10 @@ Documents become token pieces of at most ``capacity`` tokens.  The histogram of
 piece lengths has at most ``capacity`` entries, so the program that fills
 sequences is solved on the driver at a cost that does not grow with the corpus:
 multiplicative weights hold a price per length, a knapsack dynamic program finds
-the configuration (multiset of lengths) that is worth most at these prices, the
-configuration is used for part of the pieces and their prices fall.  Numbers of
-sequences are rounded down; the rest of the histogram is filled best fit, whole
-runs of equal sequences at a time.  The plan is a table of (length, rank range)
+the configurations (multisets of lengths) that are worth most at these prices,
+they are used for part of the pieces and their prices fall, until every length is
+covered.  Numbers of sequences are rounded down; what that leaves is filled best
+fit, whole runs of equal sequences at a time.  The plan is a table of (length, rank range)
 -> sequences; pieces get their rank within their length in Spark and look it up.
 
 Defined results: null and empty texts are one piece (the end token alone); rows
@@ -33,9 +33,10 @@ from feedloom.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-ROUNDS = 600
-STEP = 0.5
+STEP = 0.5   # of a length's pieces that a round covers at most
 RATE = 1.0
+GAP = 0.0005  # of the best worth that a configuration may lack
+SHARE = 64   # one in so many open lengths gets its configuration in any case
 RANK_ROWS = 8192  # pieces of one length that are numbered together, about
 MEMO = 1 << 19  # words, and runs of them, that a worker remembers
 SLICE_BYTES = 2 << 20
@@ -175,10 +176,9 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     return own.mapInArrow(run, StructType(fields)).withColumnRenamed("id", id_col)
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
-    """The multiset of lengths, at most ``capacity`` long, that is worth most: an unbounded knapsack.
-
-    ``lengths`` ascend.  worth[c] is the best for capacity c; item[c] the length taken last, -1: none."""
+def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over ascending ``lengths``: worth[c] is the best for capacity c, item[c] the
+    length taken last, -1: none."""
     worth = np.zeros(capacity + 1)
     item = np.full(capacity + 1, -1, np.int64)
     fitting = np.searchsorted(lengths, np.arange(capacity + 1), "right")
@@ -191,6 +191,12 @@ def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -
             best = k - 1 - int(tried[::-1].argmax())  # of equals the longest
             if tried[best] > worth[c]:
                 worth[c], item[c] = tried[best], best
+    return worth, item
+
+
+def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
+    """The multiset of lengths, at most ``capacity`` long, that is worth most: an unbounded knapsack."""
+    _, item = knapsack(lengths, prices, capacity)
     found: dict[int, int] = {}
     c = capacity
     while c > 0:
@@ -203,28 +209,70 @@ def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -
     return found
 
 
-def fractional_plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
-    """Configurations and fractional numbers of sequences, by multiplicative weights.
-
-    A length's weight starts at its tokens and falls by exp(-RATE x covered share); a round uses the
-    best configuration for STEP of the pieces of its scarcest length.  Covered lengths leave."""
+def _configuration(first: int, lengths: np.ndarray, prices: np.ndarray, worth: np.ndarray, item: np.ndarray,
+                   may: np.ndarray, capacity: int) -> tuple[dict[int, int], float]:
+    """The knapsack's configuration around one length, with no more copies of any than ``may``, and its
+    worth.  Where the knapsack's choice is used up, the best of the lengths that are not."""
+    found, value, c = {first: 1}, prices[first], capacity - int(lengths[first])
+    free = None  # not used up when last looked
+    while c > 0:
+        k = int(item[c])
+        if k < 0:
+            c -= 1
+            continue
+        if may[k] < found.get(k, 0) + 1:
+            if free is None:
+                free = np.flatnonzero(may >= 1)
+            fit = free[:np.searchsorted(lengths[free], c, "right")]
+            own = [i for i, n in found.items() if may[i] < n + 1]
+            fit = fit[~np.isin(fit, own)] if own else fit
+            if not len(fit):
+                break
+            k = int(fit[(prices[fit] + worth[c - lengths[fit]]).argmax()])
+        found[k] = found.get(k, 0) + 1
+        value += prices[k]
+        c -= int(lengths[k])
+    return found, value
+
+
+def fractional_plan(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[dict[int, int], float]]:
+    """Configurations and numbers of sequences, by multiplicative weights, until every length is covered.
+
+    A length's weight starts at its tokens and falls by exp(-RATE x covered share).  A round solves one
+    knapsack and takes from it a configuration around every length, best first, as long as they are worth
+    at least 1 - GAP of the best, and for at least one in SHARE of the open lengths; it covers at most STEP
+    of the pieces of a length (the last two whole).  Covered lengths leave.  ``rounds`` bounds the rounds."""
     lengths = np.array(sorted(x for x in histogram if x < capacity), np.int64)
     pieces = np.array([histogram[x] for x in lengths], float)
     covered = np.zeros(len(lengths))
     plan: dict[tuple, float] = {}
-    for _ in range(rounds):
-        open_ = np.flatnonzero(pieces - covered >= 1)
+    done = 0
+    while rounds is None or done < rounds:
+        open_ = np.flatnonzero(pieces > covered)
         if not len(open_):
             break
-        prices = lengths[open_] * np.exp(-RATE * covered[open_] / pieces[open_])
-        found = best_configuration(lengths[open_], prices, capacity)
-        at = np.searchsorted(lengths, list(found))
-        copies = np.array(list(found.values()), float)
-        scarce = ((pieces - covered)[at] / copies).min()
-        times = scarce if scarce < 2 else max(1.0, STEP * scarce)
-        covered[at] += times * copies
-        key = tuple(sorted(found.items()))
-        plan[key] = plan.get(key, 0.0) + times
+        done += 1
+        own, left = lengths[open_], (pieces - covered)[open_]
+        prices = own * np.exp(-RATE * covered[open_] / pieces[open_])
+        worth, item = knapsack(own, prices, capacity)
+        may = np.where(left <= 2, left, np.ceil(STEP * left))
+        through = prices + worth[capacity - own]
+        used, least = 0, -(-len(open_) // SHARE)
+        for k in np.lexsort((-own, -through)).tolist():
+            if used >= least and through[k] < (1 - GAP) * worth[capacity]:
+                break
+            if may[k] < 1:
+                continue
+            found, value = _configuration(k, own, prices, worth, item, may, capacity)
+            if used >= least and value < (1 - GAP) * worth[capacity]:
+                continue
+            at, copies = np.fromiter(found, np.int64), np.fromiter(found.values(), float)
+            times = float((may[at] // copies).min())
+            may[at] -= times * copies
+            covered[open_[at]] += times * copies
+            key = tuple(sorted((int(own[i]), n) for i, n in found.items()))
+            plan[key] = plan.get(key, 0.0) + times
+            used += 1
     return [(dict(key), times) for key, times in plan.items()]
 
 
@@ -277,7 +325,7 @@ def slots(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
     """``pieces`` (a stored table with a ``length`` column) with sequence_id and offset.
 
     ``keys`` order pieces of a length; rows equal in all of them may take each other's place."""

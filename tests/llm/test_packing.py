@@ -80,3 +80,16 @@ def test_few_large_lengths_pack_as_well_as_can_be(spark):
     rows = [(i, x) for i, x in enumerate([60] * 10 + [40] * 10 + [30] * 10 + [70] * 10)]
     df = spark.createDataFrame(rows, "k long, length long")
     assert check_packed(packing.pack(df, ["k"], 100).collect(), 100) == 20
+
+
+def test_thousands_of_lengths_are_covered_by_the_program():
+    lengths = np.clip(np.random.default_rng(1).lognormal(6.2, 1.1, 20000), 1, 4096).astype(int)
+    histogram = dict(zip(*(v.tolist() for v in np.unique(lengths, return_counts=True))))
+    plan = packing.fractional_plan(histogram, 4096)
+    covered = {4096: histogram[4096]}
+    for found, times in plan:
+        for x, n in found.items():
+            covered[x] = covered.get(x, 0) + n * times
+    assert len(histogram) > 2500 and covered == histogram
+    sequences = sum(times for _, times in packing.rounded_plan(histogram, plan, 4096))
+    assert sequences <= 1.002 * -(-int(lengths.sum()) // 4096)
