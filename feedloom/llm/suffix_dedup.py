@@ -50,7 +50,8 @@ SHARD_BYTES = 2 << 20  # of suffixes sorted together, about; what is more than f
 LAST_ID = (1 << 63) - 1
 
 #: One segment: anchor hash beyond its bucket, hash of its bytes, windows, start, document in the slice.
-SEGMENT = np.dtype([("anchor", "<u4"), ("content", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("run", "u1")])
+SEGMENT = np.dtype([("anchor", "<u4"), ("content", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("run", "<u2")])
+MOST_WINDOWS = 0xFFFF  # of a segment
 NOTE = np.dtype([("start", "<u4"), ("doc", "<u2")])
 CONTESTED = np.dtype([("anchor", "<u8"), ("start", "<u4"), ("run", "<u4"), ("doc", "<u2")])
 
@@ -369,6 +370,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per document: id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 of what is
     left; ``with_text`` adds the remaining bytes themselves."""
     gram = min(GRAM, max(1, length // 2))
+    if length - gram + 1 > MOST_WINDOWS:
+        raise ValueError(f"length may be at most {MOST_WINDOWS + gram - 1}")
     own = _own(df, id_col, text_col)
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, 2 * size // (length - gram + 1) // BUCKET_ROWS)  # a segment every half anchor window

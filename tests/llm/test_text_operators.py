@@ -238,6 +238,18 @@ def test_remaining_bytes_and_other_lengths(spark):
     same_rows(got.drop("kept"), removed(rows, 10))
 
 
+def test_lengths_with_many_windows_a_segment(spark):
+    r = random.Random(6)
+    passage = "".join(r.choices("abcdefghij ", k=3000))
+    rows = []
+    for i in range(30):
+        cut = r.randint(0, 1500)
+        rows.append((i, f"{r.random()} " * 30 + passage[cut:cut + r.randint(400, 1500)] + f" {r.random()}" * 30))
+    same_rows(suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=400), removed(rows, 400))
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=70000)
+
+
 # --- secrets -----------------------------------------------------------------------
 
 PATTERNS = [("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
