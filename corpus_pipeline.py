@@ -2,8 +2,11 @@
 
 Every stage works on all that the one before kept.  All stages but the last
 return the columns of documents, whatever they are called; ``n_chars``, where it
-is a column, follows the text.  Rows with a null or repeated doc_id, null texts
-and empty tables pass through with the results that the operators define.
+is a column, follows the text.  Null texts and empty tables pass through with the
+results that the operators define, and so do rows with a null or repeated doc_id,
+except that the near-duplicate stage goes by doc_id: of rows that repeat one it
+keeps a single row, so a different text under the same doc_id is lost, and rows
+with a null doc_id all stay, exact copies included.
 """
 
 from __future__ import annotations
