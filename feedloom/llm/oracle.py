@@ -47,4 +47,15 @@ links AS (
 degrees AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
 SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
 FROM components LEFT JOIN degrees USING (id)""",
+    "op12_line_dedup": r"""WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+shared AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT doc_id, pos, line, keeper IS NOT NULL AND doc_id <> keeper AS lost FROM keyed LEFT JOIN shared USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
 }

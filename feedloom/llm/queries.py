@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import embedding_dedup, jaccard_join, mixing, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, warc
+from feedloom.llm import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, warc
 from feedloom.session import scratch_path
 
 
@@ -66,6 +66,11 @@ def op10_secret_scans(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"), owner=owner, repository=repository)
 
 
+def op12_line_dedup(spark, sf_dir):
+    kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -77,4 +82,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scans": op10_secret_scans,
+    "op12_line_dedup": op12_line_dedup,
 }
