@@ -26,6 +26,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import materialize
+
 SPACE = " \t\n\x0b\x0c\r"
 LEAST_POINTS = 20
 LEAST_DOCUMENTS = 3
@@ -63,7 +65,7 @@ def drop_shared_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("print"), F.split(text, "\n", -1).alias("lines"),
                      *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names)])
     lines = _lines(docs, least_points)
-    shared = shared_keys(lines, least_documents)
+    shared = materialize(shared_keys(lines, least_documents), "shared-lines")  # both sides of the join are dealt anew: hot keys can be split
     lost = (lines.join(shared.hint("merge"), ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("id").alias("l_id"), F.col("print").alias("l_print")).agg(F.collect_set("pos").alias("drops")))
     whole = docs.join(lost.hint("merge"), F.col("id").eqNullSafe(F.col("l_id")) & (F.col("print") == F.col("l_print")), "left")
