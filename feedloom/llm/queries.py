@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, warc
+from feedloom.llm import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, tokenizer_alignment, warc
 from feedloom.session import scratch_path
 
 
@@ -71,6 +71,13 @@ def op12_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_tokenizer_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    first, second = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return tokenizer_alignment.align(table(spark, sf_dir, "documents"), first, second).documents
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -83,4 +90,5 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scans": op10_secret_scans,
     "op12_line_dedup": op12_line_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
