@@ -47,6 +47,35 @@ links AS (
 degrees AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
 SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
 FROM components LEFT JOIN degrees USING (id)""",
+    "op11_spelling_variants": r"""WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+runs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+own AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY id, run),
+drawn AS (
+  SELECT run, n, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(id || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(c) AS BIGINT) - 64] END))),
+    lambda s, b: xor(s >> 8, t[CAST((xor(s, b) & 255) + 1 AS BIGINT)])), 4294967295) AS h FROM own, crc),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(n) AS BIGINT) AS n FROM drawn GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN less b ON a.word = b.d
+  UNION SELECT b.word, a.word, a.n FROM words a JOIN less b ON a.word = b.d),
+best AS (SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * words.n THEN most END AS form_n,
+    CASE WHEN most >= 5 * words.n THEN (SELECT min(other) FROM near WHERE near.word = words.word AND near.n = most) END AS form
+  FROM words LEFT JOIN best ON words.word = best.word),
+chain AS (
+  SELECT word, word AS reached, 0 AS steps FROM forms
+  UNION ALL
+  SELECT chain.word, forms.form, steps + 1 FROM chain JOIN forms ON forms.word = chain.reached WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, arg_max(reached, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)""",
     "op12_line_dedup": r"""WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),

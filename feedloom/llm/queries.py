@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, tokenizer_alignment, warc
+from feedloom.llm import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, spelling_variants, suffix_dedup, token_counts, tokenizer_alignment, warc
 from feedloom.session import scratch_path
 
 
@@ -66,6 +66,10 @@ def op10_secret_scans(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"), owner=owner, repository=repository)
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants.variants(spelling_variants.word_counts(table(spark, sf_dir, "documents")))
+
+
 def op12_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scans": op10_secret_scans,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_line_dedup": op12_line_dedup,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
