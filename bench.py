@@ -18,7 +18,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from feedloom.plans.queries import QUERIES  # noqa: E402
+from feedloom.plans.registry import QUERIES  # noqa: E402
 from feedloom.session import local_session  # noqa: E402
 
 HEADLINE = [

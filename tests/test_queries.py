@@ -8,8 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from feedloom.plans.oracle import ORACLE
-from feedloom.plans.queries import QUERIES
+from feedloom.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
