@@ -29,6 +29,41 @@ popular_lists AS (
   QUALIFY rank <= 10)"""
 
 
+LIKED = "liked AS (SELECT DISTINCT user_id, item_id FROM train WHERE rating >= 4)"
+
+ITEM_NEIGHBOURS = """liked_n AS (SELECT item_id, count(*) AS n FROM liked GROUP BY item_id),
+common AS (
+  SELECT x.item_id, y.item_id AS other_id, count(*) AS common FROM liked x JOIN liked y ON x.user_id = y.user_id AND x.item_id <> y.item_id GROUP BY 1, 2),
+neighbours AS (
+  SELECT common.item_id, other_id, common, common / sqrt(CAST(a.n * b.n AS DOUBLE)) AS similarity,
+    row_number() OVER (PARTITION BY common.item_id ORDER BY common / sqrt(CAST(a.n * b.n AS DOUBLE)) DESC, other_id) AS rank
+  FROM common JOIN liked_n a ON a.item_id = common.item_id JOIN liked_n b ON b.item_id = other_id
+  WHERE common >= 2 AND common * common >= 0.05 * 0.05 * a.n * b.n QUALIFY rank <= 20)"""
+
+CONTENT_NEIGHBOURS = r"""terms AS (SELECT item_id, unnest(regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+')) AS term FROM T),
+tf AS (SELECT item_id, term, count(*) AS tf FROM terms GROUP BY 1, 2),
+idf AS (
+  SELECT term, ln((1.0 + (SELECT count(DISTINCT item_id) FROM tf)) / (1.0 + count(*))) + 1.0 AS idf FROM tf GROUP BY term),
+weighted AS (
+  SELECT item_id, term, CAST(floor(tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY item_id)) * 1000000) AS BIGINT) AS w
+  FROM tf JOIN idf USING (term)),
+dots AS (
+  SELECT x.item_id, y.item_id AS other_id, CAST(sum(x.w * y.w) AS BIGINT) AS dot FROM weighted x JOIN weighted y ON x.term = y.term AND x.item_id <> y.item_id GROUP BY 1, 2),
+neighbours AS (
+  SELECT item_id, other_id, dot / 1e12 AS similarity, row_number() OVER (PARTITION BY item_id ORDER BY dot DESC, other_id) AS rank
+  FROM dots WHERE dot >= 0.3 * 1e12 QUALIFY rank <= 20)"""
+
+
+def by_neighbours(name: str) -> str:
+    """Lists of users with relevant items, from the CTE neighbours."""
+    return f"""{name} AS (
+  SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY units DESC, item_id) AS rank, units / 1e9 AS score
+  FROM (SELECT user_id, other_id AS item_id, CAST(sum(CAST(floor(similarity * 1000000000) AS BIGINT)) AS BIGINT) AS units
+        FROM liked JOIN judged USING (user_id) JOIN neighbours USING (item_id) GROUP BY ALL) s
+  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.item_id = s.item_id)
+  QUALIFY rank <= 10)"""
+
+
 def user_metrics(lists: str) -> str:
     """Per user with relevant items and k, from a CTE of lists."""
     return f"""hits AS (
@@ -60,6 +95,8 @@ def sql(source: str, *ctes: str) -> str:
 _SPLIT = "SELECT user_id, item_id, timestamp_ms, rating, split FROM S"
 _SUMMARY = ("SELECT split, count(*) AS interactions, min(timestamp_ms) AS first_ms, max(timestamp_ms) AS last_ms "
             "FROM S GROUP BY split")
+_SCORED = "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 9) AS score FROM {}"
+_NEAR = "SELECT item_id, other_id, {}round(similarity, 9) AS similarity, CAST(rank AS INTEGER) AS rank FROM neighbours"
 _LISTS = "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM {}"
 
 ORACLE = {
@@ -78,3 +115,13 @@ ORACLE = {
     "popularity_user_metrics": sql("events", POPULAR, user_metrics("popular_lists"), USER_METRICS),
     "lines_popularity_metrics": sql("lines", POPULAR, user_metrics("popular_lists"), "SELECT " + MEANS),
 }
+
+for _prefix, _source in (("", "events"), ("lines_", "lines")):
+    for _name, _near, _columns, _own in (("collaborative", ITEM_NEIGHBOURS, "common, ", "item_neighbours"),
+                                         ("content", CONTENT_NEIGHBOURS, "", "content_neighbours")):
+        _ctes = [LIKED, _near, by_neighbours(_name)]
+        ORACLE |= {
+            f"{_prefix}{_own}": sql(_source, LIKED, _near, _NEAR.format(_columns)),
+            f"{_prefix}{_name}_topk": sql(_source, *_ctes, _SCORED.format(_name)),
+            f"{_prefix}{_name}_metrics": sql(_source, *_ctes, user_metrics(_name), "SELECT " + MEANS),
+        }

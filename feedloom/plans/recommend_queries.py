@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.operators.label import LabelPolicy, positive_flag
-from feedloom.plans.queries import events_interactions, lines_interactions, present, stored_tables
-from feedloom.recommend import popularity, ranking, split
+from feedloom.operators import clean
+from feedloom.plans.queries import events_interactions, lines_interactions, present
+from feedloom.recommend import content, item_item, popularity, ranking, split
 from feedloom.session import materialize
+from feedloom.sources import fixtures as fx
 
 KS = (5, 10)
 K = max(KS)
@@ -73,6 +74,61 @@ def q_popularity_user_metrics(spark, d):
     return rounded(ranking.user_metrics(*_popular(spark, d, "events"), KS))
 
 
+def catalogue(spark, d, parts):
+    """Items of the whole view: also those that nobody met in training."""
+    return materialize(clean.clean_items(fx.raw_items(spark, d), parts, sort=False), "items")
+
+
+def q_item_neighbours(source):
+    def run(spark, d):
+        near = item_item.item_neighbours(item_item.liked(training(parted(spark, d, source))))
+        return rounded(near.select("item_id", "other_id", "common", "similarity", "rank"))
+    return run
+
+
+def _collaborative(spark, d, source):
+    parts = parted(spark, d, source)
+    relevant = materialize(split.held_out_relevance(parts), "relevant")
+    return item_item.recommend_collaborative(training(parts), relevant, K), relevant
+
+
+def q_collaborative(source):
+    def run(spark, d):
+        return rounded(_collaborative(spark, d, source)[0])
+    return run
+
+
+def q_collaborative_metrics(source):
+    def run(spark, d):
+        return rounded(ranking.ranking_metrics(*_collaborative(spark, d, source), KS))
+    return run
+
+
+def q_content_neighbours(source):
+    def run(spark, d):
+        near = content.content_neighbours(catalogue(spark, d, parted(spark, d, source)))
+        return rounded(near.select("item_id", "other_id", "similarity", "rank"))
+    return run
+
+
+def _by_content(spark, d, source):
+    parts = parted(spark, d, source)
+    relevant = materialize(split.held_out_relevance(parts), "relevant")
+    return content.recommend_by_content(training(parts), catalogue(spark, d, parts), relevant, K), relevant
+
+
+def q_content(source):
+    def run(spark, d):
+        return rounded(_by_content(spark, d, source)[0])
+    return run
+
+
+def q_content_metrics(source):
+    def run(spark, d):
+        return rounded(ranking.ranking_metrics(*_by_content(spark, d, source), KS))
+    return run
+
+
 QUERIES = {
     "split_chronological": q_split("events"),
     "lines_split_chronological": q_split("lines"),
@@ -86,4 +142,16 @@ QUERIES = {
     "popularity_metrics": q_popularity_metrics("events"),
     "popularity_user_metrics": q_popularity_user_metrics,
     "lines_popularity_metrics": q_popularity_metrics("lines"),
+    "item_neighbours": q_item_neighbours("events"),
+    "lines_item_neighbours": q_item_neighbours("lines"),
+    "collaborative_topk": q_collaborative("events"),
+    "lines_collaborative_topk": q_collaborative("lines"),
+    "collaborative_metrics": q_collaborative_metrics("events"),
+    "lines_collaborative_metrics": q_collaborative_metrics("lines"),
+    "content_neighbours": q_content_neighbours("events"),
+    "lines_content_neighbours": q_content_neighbours("lines"),
+    "content_topk": q_content("events"),
+    "lines_content_topk": q_content("lines"),
+    "content_metrics": q_content_metrics("events"),
+    "lines_content_metrics": q_content_metrics("lines"),
 }
