@@ -36,11 +36,11 @@ from pyspark.sql.types import ArrayType, BinaryType, ByteType, IntegerType, Long
 from feedloom.llm import text as tx
 from feedloom.session import materialize
 
-CHUNK_BYTES = 16 << 20  # text of a chunk, about
+CHUNK_BYTES = 8 << 20   # text of a chunk, about
 CHUNK_ROWS = 1 << 15    # documents of a chunk: their numbers fit 16 bits
-SLICE_BYTES, SLICE_ROWS = 4 << 20, 1 << 13
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 1 << 13
 MEMO = 1 << 19          # units that a worker remembers
-MEMO_BYTES = 96 << 20   # and the bytes of their group texts
+MEMO_BYTES = 48 << 20   # and the bytes of their group texts
 
 SPACE = 0x20
 MARK = "▁".encode()
@@ -65,7 +65,7 @@ class ByteLevel:
             self.pieces[i] = bytes(byte_of[c] for c in piece) if all(c in byte_of for c in piece) else piece.encode()
 
     def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
 class Pieces:
@@ -119,7 +119,9 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     at = at[at >= 3]
     inner = at[_after_text(data, at)]
     inner = inner[~np.isin(inner + 1, offsets)]  # a lone space at a text's end is no unit: a model adds none to nothing
-    starts = np.union1d(inner, offsets[:-1])
+    begins = np.zeros(len(data) + 1, bool)
+    begins[inner] = begins[offsets[:-1]] = True
+    starts = np.flatnonzero(begins)
     return starts, np.searchsorted(starts, offsets)
 
 
@@ -132,30 +134,49 @@ class Aligner:
             raise ValueError("ids beyond 16 bits")
         self.a_bytes, self.b_bytes = _Table(self.a.pieces), _Table(self.b.pieces)
         self.digits = _Table([str(i).encode() for i in range(max(len(self.a.pieces), len(self.b.pieces)))])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes, ascending, and their slots
         self.texts: list[bytes] = []  # groups of each unit, every one followed by a semicolon
         self.bytes = 0
-        self.n_a, self.n_b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.n_a, self.n_b, self.uses = (np.zeros(0, np.int64) for _ in range(3))
         self.links, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
+    def _forget(self) -> None:
+        """What was met in one slice only goes; all goes where that is not half of it."""
+        stays = (self.uses > 1) & (np.fromiter(map(len, self.texts), np.int64, len(self.texts)) < 1 << 10)
+        if 2 * stays.sum() > min(MEMO, len(stays)):
+            stays[:] = False
+        place = np.cumsum(stays) - 1
+        held = stays[self.slot]
+        self.known, self.slot = self.known[held], place[self.slot[held]]
+        size = np.diff(self.first)[stays]
+        self.links = self.links[_spread(self.first[:-1][stays], size)]
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        self.texts = [self.texts[k] for k in np.flatnonzero(stays).tolist()]
+        self.bytes = sum(map(len, self.texts))
+        self.n_a, self.n_b, self.uses = self.n_a[stays], self.n_b[stays], np.ones(int(stays.sum()), np.int64)
+
     def slots(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The slot of every unit; n_a is -1 where a tokenizer does not give the unit back."""
         hashes = tx.mix(tx.word_hashes(data, starts, ends) + (ends - starts).astype(np.uint64))
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        new = ~np.isin(distinct, self.known, assume_unique=True)
+        new = ~self._knows(distinct)
         if len(self.known) + new.sum() > MEMO or self.bytes > MEMO_BYTES:
             self._forget()
-            new[:] = True
+            new = ~self._knows(distinct)
         if new.any():
             self._learn([data[a:b].tobytes() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
             known = np.concatenate([self.known, distinct[new]])
             slot = np.concatenate([self.slot, np.arange(len(self.slot), len(known))])
             order = np.argsort(known, kind="stable")
             self.known, self.slot = known[order], slot[order]
-        return self.slot[np.searchsorted(self.known, distinct)][which]
+        slots = self.slot[np.searchsorted(self.known, distinct)]
+        self.uses[slots] += 1
+        return slots[which]
+
+    def _knows(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(hashes), bool)
+        return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] == hashes
 
     def _learn(self, words: list[bytes]) -> None:
         plain = np.fromiter((MARK not in w for w in words), bool, len(words))
@@ -182,6 +203,7 @@ class Aligner:
         self.texts += texts
         self.bytes += sum(map(len, texts))
         self.n_a, self.n_b = np.concatenate([self.n_a, n_a]), np.concatenate([self.n_b, n_b])
+        self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
         self.links = np.concatenate([self.links, *links])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n_links)])
 
