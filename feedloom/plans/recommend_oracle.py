@@ -9,8 +9,10 @@ BASE = {
     "lines": ",\n".join([RAW_LINES, RAW_ITEMS, clean_cte("I", "raw_lines"), items_cte("T", "raw_items", "I")]),
 }
 
-PARTS = """placed AS (SELECT timestamp_ms, row_number() OVER (ORDER BY timestamp_ms) - 1 AS p, count(*) OVER () AS n FROM I),
-cuts AS (SELECT min(timestamp_ms) FILTER (p = n * 7 // 10) AS a, min(timestamp_ms) FILTER (p = n * 8 // 10) AS b FROM placed),
+def parts(train: int = 7, validation: int = 1) -> str:
+    """The parts, their shares in tenths."""
+    return f"""placed AS (SELECT timestamp_ms, row_number() OVER (ORDER BY timestamp_ms) - 1 AS p, count(*) OVER () AS n FROM I),
+cuts AS (SELECT min(timestamp_ms) FILTER (p = n * {train} // 10) AS a, min(timestamp_ms) FILTER (p = n * {train + validation} // 10) AS b FROM placed),
 S AS (
   SELECT I.*, CASE WHEN timestamp_ms < a THEN 'train' WHEN timestamp_ms < b THEN 'validation' ELSE 'test' END AS split FROM I, cuts),
 train AS (SELECT * FROM S WHERE split = 'train'),
@@ -54,12 +56,12 @@ neighbours AS (
   FROM dots WHERE dot >= 0.3 * 1e12 QUALIFY rank <= 20)"""
 
 
-def by_neighbours(name: str) -> str:
+def by_neighbours(name: str, near: str = "neighbours") -> str:
     """Lists of users with relevant items, from the CTE neighbours."""
     return f"""{name} AS (
   SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY units DESC, item_id) AS rank, units / 1e9 AS score
   FROM (SELECT user_id, other_id AS item_id, CAST(sum(CAST(floor(similarity * 1000000000) AS BIGINT)) AS BIGINT) AS units
-        FROM liked JOIN judged USING (user_id) JOIN neighbours USING (item_id) GROUP BY ALL) s
+        FROM liked JOIN judged USING (user_id) JOIN {near} USING (item_id) GROUP BY ALL) s
   WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.item_id = s.item_id)
   QUALIFY rank <= 10)"""
 
@@ -87,9 +89,53 @@ USER_METRICS = f"SELECT user_id, CAST(k AS INTEGER) AS k, n_relevant, hits, {_ro
 MEANS = "CAST(k AS INTEGER) AS k, count(*) AS users, " + ", ".join(f"round(avg({n}), 9) AS {n}" for n in METRICS) + " FROM scored GROUP BY k"
 
 
-def sql(source: str, *ctes: str) -> str:
+def sql(source: str, *ctes: str, split: str = parts()) -> str:
     *ctes, body = ctes
-    return "WITH RECURSIVE " + ",\n".join([BASE[source], PARTS, *ctes]) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join([BASE[source], split, *ctes]) + "\n" + body
+
+
+LISTS = [POPULAR, LIKED, ITEM_NEIGHBOURS.replace("neighbours AS (", "item_near AS ("), by_neighbours("collaborative", "item_near"),
+         CONTENT_NEIGHBOURS.replace("neighbours AS (", "content_near AS ("), by_neighbours("content", "content_near")]
+
+
+def fused(part: str) -> str:
+    """The hybrid list by a part of every list's item (part: an expression of score, least, most, rank)."""
+    return f"""candidates AS (
+  SELECT 0.2 AS weight, user_id, item_id, rank, CAST(score AS DOUBLE) AS score FROM popular_lists
+  UNION ALL SELECT 0.5, user_id, item_id, rank, score FROM collaborative
+  UNION ALL SELECT 0.3, user_id, item_id, rank, score FROM content),
+bounded AS (SELECT *, min(score) OVER (PARTITION BY weight, user_id) AS least, max(score) OVER (PARTITION BY weight, user_id) AS most FROM candidates),
+summed AS (
+  SELECT user_id, item_id, CAST(sum(CAST(floor({part} * CAST(weight AS DOUBLE) * 1000000000) AS BIGINT)) AS BIGINT) AS units, count(*) AS sources
+  FROM bounded GROUP BY 1, 2),
+hybrid AS (
+  SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY units DESC, item_id) AS rank, units / 1e9 AS score,
+    CAST(sources AS INTEGER) AS sources FROM summed QUALIFY rank <= 10)"""
+
+
+BY_SCORES = fused("CASE WHEN most > least THEN (score - least) / (most - least) ELSE 1.0::DOUBLE END")
+BY_RANKS = fused("(1.0::DOUBLE / (rank + 60))")
+SERVED = """offered AS (
+  SELECT user_id, item_id, min(n * 1000 + rank) AS place
+  FROM (SELECT 0 AS n, user_id, item_id, rank FROM collaborative UNION ALL SELECT 1, user_id, item_id, rank FROM content
+        UNION ALL SELECT 2, user_id, item_id, rank FROM popular_lists) GROUP BY 1, 2),
+served AS (
+  SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY place, item_id) AS rank, CAST(place // 1000 AS INTEGER) AS source
+  FROM offered QUALIFY rank <= 10)"""
+HISTORY = "history AS (SELECT user_id, count(DISTINCT item_id) AS n FROM train GROUP BY 1)"
+
+
+def judged_alone(lists: str, name: str) -> str:
+    """The user metrics of one list as a CTE of its own."""
+    inner = user_metrics(lists)
+    return f"{name} AS (WITH {inner} SELECT * FROM scored)"
+
+
+def item_segment(name: str, test: str) -> str:
+    """The user metrics of ``served`` with relevant items of one segment only."""
+    inner = user_metrics("served").replace("judged j", "own_judged j").replace("JOIN relevant USING", "JOIN own USING")
+    return f"""{name} AS (WITH own AS (SELECT * FROM relevant WHERE item_id {test} (SELECT item_id FROM train)),
+own_judged AS (SELECT user_id, count(*) AS n_relevant FROM own GROUP BY user_id), {inner} SELECT * FROM scored)"""
 
 
 _SPLIT = "SELECT user_id, item_id, timestamp_ms, rating, split FROM S"
@@ -125,3 +171,25 @@ for _prefix, _source in (("", "events"), ("lines_", "lines")):
             f"{_prefix}{_name}_topk": sql(_source, *_ctes, _SCORED.format(_name)),
             f"{_prefix}{_name}_metrics": sql(_source, *_ctes, user_metrics(_name), "SELECT " + MEANS),
         }
+
+_MEAN_COLUMNS = MEANS.split(" FROM ")[0]
+_NAMES = {"popular": "popular_lists", "collaborative": "collaborative", "content": "content", "hybrid": "hybrid"}
+_EARLY = parts(1, 4)
+for _prefix, _source in (("", "events"), ("lines_", "lines")):
+    _fused = "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 9) AS score, sources FROM hybrid"
+    ORACLE |= {
+        f"{_prefix}hybrid_topk": sql(_source, *LISTS, BY_SCORES, _fused),
+        f"{_prefix}model_comparison": sql(
+            _source, *LISTS, BY_SCORES, *[judged_alone(t, f"of_{n}") for n, t in _NAMES.items()],
+            "\nUNION ALL ".join(f"SELECT '{n}' AS model, {_MEAN_COLUMNS} FROM of_{n} GROUP BY k" for n in _NAMES)),
+    }
+ORACLE |= {
+    "hybrid_by_ranks_topk": sql("events", *LISTS, BY_RANKS, _fused),
+    "lines_served_topk": sql("lines", *LISTS, SERVED, "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, source FROM served", split=_EARLY),
+    "lines_cold_user_metrics": sql("lines", *LISTS, SERVED, HISTORY, judged_alone("served", "of_served"), f"""SELECT segment, {_MEAN_COLUMNS}
+FROM (SELECT s.*, CASE WHEN n IS NULL THEN 'cold' WHEN n < 5 THEN 'sparse' ELSE 'active' END AS segment FROM of_served s LEFT JOIN history USING (user_id))
+GROUP BY segment, k""", split=_EARLY),
+    "lines_cold_item_metrics": sql("lines", *LISTS, SERVED, item_segment("of_cold", "NOT IN"), item_segment("of_known", "IN"),
+                                   "\nUNION ALL ".join(f"SELECT '{n}' AS segment, {_MEAN_COLUMNS} FROM of_{n} GROUP BY k" for n in ("cold", "known")),
+                                   split=_EARLY),
+}

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import clean
 from feedloom.plans.queries import events_interactions, lines_interactions, present
-from feedloom.recommend import content, item_item, popularity, ranking, split
+from feedloom.operators.index import encode_interactions, fit_encoders, invert_index
+from feedloom.recommend import coldstart, content, factorize, hybrid, item_item, popularity, ranking, split
 from feedloom.session import materialize
 from feedloom.sources import fixtures as fx
 
@@ -14,10 +15,10 @@ KS = (5, 10)
 K = max(KS)
 
 
-def parted(spark, d, source):
+def parted(spark, d, source, **shares):
     """Cleaned interactions with their part, written once."""
     clean = materialize((events_interactions if source == "events" else lines_interactions)(spark, d, False), f"{source}-interactions")
-    return materialize(split.chronological_split(clean), f"{source}-split")
+    return materialize(split.chronological_split(clean, **shares), f"{source}-split")
 
 
 def training(parts):
@@ -129,6 +130,102 @@ def q_content_metrics(source):
     return run
 
 
+WEIGHTS = {"popular": 0.2, "collaborative": 0.5, "content": 0.3}
+EARLY = {"validation": 0.4, "test": 0.5}  # so little to train on that users and items of the test part are unknown
+
+
+def _lists(spark, d, source, **shares):
+    """Lists of three recommenders for the users with relevant items, each written once."""
+    parts = parted(spark, d, source, **shares)
+    train, relevant = training(parts), materialize(split.held_out_relevance(parts), "relevant")
+    lists = {"popular": popularity.recommend_popular(train, relevant, K),
+             "collaborative": item_item.recommend_collaborative(train, relevant, K),
+             "content": content.recommend_by_content(train, catalogue(spark, d, parts), relevant, K)}
+    return train, relevant, {name: materialize(df, name) for name, df in lists.items()}
+
+
+def q_hybrid(source, method):
+    def run(spark, d):
+        _, _, lists = _lists(spark, d, source)
+        return rounded(hybrid.fuse(lists, WEIGHTS, K, method))
+    return run
+
+
+def q_model_comparison(source):
+    def run(spark, d):
+        _, relevant, lists = _lists(spark, d, source)
+        lists["hybrid"] = hybrid.fuse(lists, WEIGHTS, K)
+        found = None
+        for name, df in lists.items():
+            part = ranking.ranking_metrics(df, relevant, KS).select(F.lit(name).alias("model"), "*")
+            found = part if found is None else found.unionByName(part)
+        return rounded(found)
+    return run
+
+
+def _served(spark, d):
+    """Personal lists first, popular items for the rest, from an early cut of the larger view."""
+    train, relevant, lists = _lists(spark, d, "lines", **EARLY)
+    return train, relevant, coldstart.fill_up([lists["collaborative"], lists["content"], lists["popular"]], K)
+
+
+def q_served(spark, d):
+    return _served(spark, d)[2]
+
+
+def q_cold_users(spark, d):
+    train, relevant, served = _served(spark, d)
+    segments = coldstart.user_segments(relevant, fit_encoders(train)[0], train)
+    return rounded(coldstart.metrics_by_user_segment(served, relevant, segments, KS))
+
+
+def q_cold_items(spark, d):
+    train, relevant, served = _served(spark, d)
+    segments = coldstart.item_segments(relevant, fit_encoders(train)[1])
+    return rounded(coldstart.metrics_by_item_segment(served, relevant, segments, KS))
+
+
+def _factorised(spark, d, source):
+    parts = parted(spark, d, source)
+    users, items = (materialize(m, "mapping") for m in fit_encoders(training(parts)))
+    encoded = materialize(encode_interactions(training(parts), users, items), "encoded")
+    ratings = materialize(factorize.known_ratings(encoded), "ratings")
+    return parts, users, items, ratings
+
+
+def q_factorised_topk(source):
+    def run(spark, d):
+        parts, users, items, ratings = _factorised(spark, d, source)
+        model = factorize.factorise(ratings)
+        asked = encode_interactions(split.held_out_relevance(parts), users, items).where("user_idx >= 0")
+        best = factorize.recommend_factorised(model, ratings, asked, K)
+        named = invert_index(invert_index(best, users, "user_idx", "user_id"), items, "item_idx", "item_id")
+        return rounded(named.select("user_id", "item_id", "rank", "score"))
+    return run
+
+
+def q_factorised_metrics(source):
+    def run(spark, d):
+        lists = materialize(q_factorised_topk(source)(spark, d), "factorised")
+        return rounded(ranking.ranking_metrics(lists, split.held_out_relevance(parted(spark, d, source)), KS))
+    return run
+
+
+def q_factorised_loss(spark, d):
+    """rmse and objective after every iteration."""
+    ratings = _factorised(spark, d, "lines")[3]
+    rows = []
+
+    def watch(model):
+        rows.append(materialize(factorize.loss(ratings, model).select(F.lit(len(rows) + 1).alias("iteration"), "*"), "loss"))
+
+    factorize.factorise(ratings, watch=watch)
+    found = rows[0]
+    for part in rows[1:]:
+        found = found.unionByName(part)
+    return rounded(found, 6)
+
+
 QUERIES = {
     "split_chronological": q_split("events"),
     "lines_split_chronological": q_split("lines"),
@@ -154,4 +251,16 @@ QUERIES = {
     "lines_content_topk": q_content("lines"),
     "content_metrics": q_content_metrics("events"),
     "lines_content_metrics": q_content_metrics("lines"),
+    "hybrid_topk": q_hybrid("events", "scores"),
+    "lines_hybrid_topk": q_hybrid("lines", "scores"),
+    "hybrid_by_ranks_topk": q_hybrid("events", "ranks"),
+    "model_comparison": q_model_comparison("events"),
+    "lines_model_comparison": q_model_comparison("lines"),
+    "lines_served_topk": q_served,
+    "lines_cold_user_metrics": q_cold_users,
+    "lines_cold_item_metrics": q_cold_items,
+    "factorised_topk": q_factorised_topk("events"),
+    "lines_factorised_topk": q_factorised_topk("lines"),
+    "lines_factorised_metrics": q_factorised_metrics("lines"),
+    "lines_factorised_loss": q_factorised_loss,
 }
