@@ -172,3 +172,19 @@ def write_jsonl(records: DataFrame, path: str) -> str:
      .select(F.to_json(F.struct(*body)).alias("value"))
      .write.mode("overwrite").option("compression", "gzip").text(path))
     return path
+
+
+def untitled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_items`` in which every other part has no title."""
+    return raw_items(spark, sf_dir).withColumn("title", F.when(F.col("ordinal") % 2 == 0, F.lit(" ")).otherwise(F.col("title")))
+
+
+def write_mixed_timestamps(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Events as gzip JSON lines whose timestamps are fractions, texts or whole numbers by value rule."""
+    r = raw_events(spark, sf_dir)
+    at = F.col("timestamp").cast("string")
+    shown = (F.when(F.col("ordinal") % 7 == 0, F.concat(at, F.lit(".5"))).when(F.col("ordinal") % 11 == 0, F.concat(F.lit('"'), at, F.lit('"')))
+             .otherwise(at))
+    line = F.concat(F.lit('{"user_id":"'), "user_id", F.lit('","parent_asin":"'), "parent_asin", F.lit('","rating":4.0,"timestamp":'), shown, F.lit("}"))
+    r.select(line.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+    return path

@@ -49,7 +49,7 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert no_oracle == {"source_audit", "factorised_topk", "lines_factorised_topk", "lines_factorised_metrics", "lines_factorised_loss"}
 
 
-TOP_K = {"top_items", "lines_top_items"}  # the only queries whose feature is a limit
+TOP_K = {"top_items", "lines_top_items", "lines_untitled_top_items"}  # the only queries whose feature is a limit
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
