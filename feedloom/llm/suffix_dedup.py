@@ -7,10 +7,14 @@
    of a slice only the first).  A segment alone with its anchor repeats nothing.  Of
    equal segments all but the first place are repeats altogether.  Where an anchor
    has several different segments their first places are contested.
-3. *Suffix order.*  The bytes of contested segments are dealt to shards by anchor
-   hash.  Each shard sorts its suffixes by external induced sorting with disk-backed
-   queues (``induced_sort``); neighbours that share ``length`` bytes are one string,
-   and it stays at the first of its places only.
+3. *Suffix order.*  A window reaches far to the left or far to the right of its
+   anchor, so equal windows share, besides the anchor, the bytes on that side: contested
+   segments are parted there, and the parts dealt to shards by a hash of these bytes.
+   A string that many documents hold between differing neighbours so gives many keys,
+   and not one shard.  Of equal parts only the first goes on, and a part alone with its
+   key not at all.  Each shard sorts the suffixes of the others by external induced sorting
+   with disk-backed queues (``induced_sort``); neighbours that share ``length`` bytes are
+   one string, and it stays at the first of its places only.
 4. *Removal.*  Every document is cut at its repeats.
 
 Places are ordered by (id, start); matches never cross texts, overlaps count, and
@@ -49,21 +53,21 @@ SLICE_BYTES = 4 << 20
 SHARD_BYTES = 2 << 20  # of suffixes sorted together, about; what is more than fits memory is sorted on disk
 LAST_ID = (1 << 63) - 1
 
-#: One segment: anchor hash beyond its bucket, hash of its bytes, windows, start, document in the slice.
-SEGMENT = np.dtype([("anchor", "<u4"), ("content", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("run", "<u2")])
+#: One segment: anchor hash beyond its bucket, hash of its bytes, windows, start, document in the slice, place of the anchor.
+SEGMENT = np.dtype([("anchor", "<u4"), ("content", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("run", "<u2"), ("at", "<u2")])
 MOST_WINDOWS = 0xFFFF  # of a segment
 NOTE = np.dtype([("start", "<u4"), ("doc", "<u2")])
-CONTESTED = np.dtype([("anchor", "<u8"), ("start", "<u4"), ("run", "<u4"), ("doc", "<u2")])
+CONTESTED = np.dtype([("start", "<u4"), ("run", "<u2"), ("doc", "<u2"), ("at", "<u2")])
 
 
 # --- segments ----------------------------------------------------------------------
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """First window, number of windows, text, anchor hash and content hash of every segment."""
+    """First window, number of windows, text, anchor hash, content hash and place of the anchor of every segment."""
     n, width = len(data), length - gram + 1
     empty = np.zeros(0, np.int64)
     if n < length:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty
     h = tx.prefix_hash(data)
     at = np.arange(n - gram + 1)
     hashes = tx.span_hash(h, at, at + gram)
@@ -82,7 +86,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     first = np.flatnonzero(cut & inside)
     last = np.flatnonzero(inside & np.append(cut[1:] | ~inside[1:], True))
     run = last - first + 1
-    return first, run, doc[first], hashes[anchor[first]], tx.span_hash(h, first, last + length)
+    return first, run, doc[first], hashes[anchor[first]], tx.span_hash(h, first, last + length), anchor[first] - first
 
 
 def _own(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -111,12 +115,12 @@ def _earliest(keys: list[np.ndarray], ids: np.ndarray, start: np.ndarray) -> tup
 def _ask(buckets: int, length: int, gram: int):
     def rows(ids: np.ndarray, prints: np.ndarray, column: pa.Array, number: int) -> list[dict]:
         data, offsets = tx.raw(column)
-        first, run, doc, anchor, content = segments(data, offsets, length, gram)
+        first, run, doc, anchor, content, at = segments(data, offsets, length, gram)
         start = first - offsets[doc]
         order, ahead = _earliest([anchor, content, run], ids[doc], start)
         packed = np.empty(len(order), SEGMENT)
         packed["anchor"], packed["content"] = anchor >> np.uint64(32), content
-        packed["start"], packed["doc"], packed["run"] = start, doc, run
+        packed["start"], packed["doc"], packed["run"], packed["at"] = start, doc, run, at
         again = packed[order[~ahead]]
         # rows that repeat an id and a text have the same places; they are not earlier than each other
         known = np.empty(len(again), NOTE)
@@ -179,8 +183,8 @@ def _answer(buckets: int):
             note["start"], note["doc"] = x["start"], x["doc"]
             y = own[contest[a:b]]
             rows = np.empty(len(y), CONTESTED)
-            rows["anchor"] = y["anchor"].astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
-            rows["start"], rows["run"], rows["doc"] = y["start"], y["run"], y["doc"]
+            for name in CONTESTED.names:
+                rows[name] = y[name]
             repeats.append(note.tobytes())
             contested.append(rows.tobytes())
         none = pa.nulls(len(parts), pa.binary())
@@ -209,23 +213,41 @@ def _noted(table: pa.Table) -> pa.Table:
 
 # --- suffix order ------------------------------------------------------------------
 
-def _cut_out(length: int):
-    """Bytes of contested segments, each with its anchor."""
+def _side(found: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(found, digest_size=8).digest(), "little", signed=True)
+
+
+def parts_of(text: bytes, start: int, run: int, at: int, length: int, gram: int) -> list[tuple[int, int, bytes]]:
+    """A segment's windows in two parts: (key, first window, bytes).
+
+    Windows that reach at least half of what they hold besides the anchor to its left share these bytes and the
+    anchor, the others the anchor and more than the other half to its right."""
+    half, anchor = (length - gram) // 2, start + at
+    left = min(max(at - half + 1, 0), run)
+    out = []
+    if left:
+        out.append((_side(b"l" + text[anchor - half:anchor + gram]), start, text[start:start + left + length - 1]))
+    if left < run:
+        out.append((_side(b"r" + text[anchor:anchor + length - half + 1]), start + left, text[start + left:start + run + length - 1]))
+    return out
+
+
+def _cut_out(length: int, gram: int):
+    """Bytes of contested segments in parts, each with its key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = tx.text_array(batch.column("text"))
             for i in range(batch.num_rows):
-                text = column[i].as_buffer().to_pybytes()
                 rows = np.frombuffer(batch.column("contested")[i].as_py(), CONTESTED)
                 if not len(rows):
                     continue
-                start, run_ = rows["start"].astype(np.int64), rows["run"].astype(np.int64)
+                text = column[i].as_buffer().to_pybytes()
+                found = [x for s, r, a in zip(*(rows[n].tolist() for n in ("start", "run", "at"))) for x in parts_of(text, s, r, a, length, gram)]
+                key, start, held = zip(*found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["anchor"].astype(np.uint64).view(np.int64)),
-                     pa.array([batch.column("id")[i].as_py()] * len(rows), pa.int64()),
-                     pa.array([batch.column("print")[i].as_py()] * len(rows), pa.int64()), pa.array(start),
-                     pa.array([text[s:s + r + length - 1] for s, r in zip(start.tolist(), run_.tolist())], pa.binary())],
-                    ["anchor", "id", "print", "start", "bytes"])
+                    [pa.array(key, pa.int64()), pa.array([batch.column("id")[i].as_py()] * len(found), pa.int64()),
+                     pa.array([batch.column("print")[i].as_py()] * len(found), pa.int64()), pa.array(start, pa.int64()), pa.array(held, pa.binary())],
+                    ["key", "id", "print", "start", "bytes"])
     return run
 
 
@@ -279,33 +301,60 @@ def _settle_groups(settle, places: np.ndarray, group: np.ndarray) -> None:
         settle(places[same], group[same])
 
 
+def _contest(key: np.ndarray, content: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of parts: which repeat an earlier equal one altogether, and which are to be sorted."""
+    order, first = _earliest([key, content], ids, starts)
+    leader = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    at_first = (ids[leader] == ids[order]) & (starts[leader] == starts[order])
+    keys = key[order]
+    edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    several = np.repeat(np.add.reduceat(first, edge) > 1, np.diff(np.append(edge, len(order))))
+    again, sort = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    again[order[~at_first]] = True
+    sort[order[at_first & several]] = True
+    return again, sort
+
+
 def _sort_shards(length: int):
-    """All segments of this task's shards -> for each the runs of places that begin a repeat."""
+    """All parts of this task's shards -> for each the runs of places that begin a repeat."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folder = spill_folder()
         try:
-            keys, sizes, kept = [], [], 0
-            with open(f"{folder}/bytes", "wb") as f:
+            keys, sizes, digests, total = [], [], [], 0
+            with open(f"{folder}/all", "wb") as f:
                 for batch in batches:
-                    keys.append(batch.select(["id", "print", "start"]))
-                    lengths = np.asarray(pc.binary_length(batch.column("bytes"))).astype(np.int64)
-                    sizes.append(lengths)
+                    keys.append(batch.select(["key", "id", "print", "start"]))
+                    sizes.append(np.asarray(pc.binary_length(batch.column("bytes"))).astype(np.int64))
                     for value in batch.column("bytes"):
-                        f.write(value.as_buffer())
-                    kept += int(lengths.sum())
-            if not kept:
+                        held = value.as_buffer()
+                        digests.append(hashlib.blake2b(held, digest_size=8).digest())
+                        f.write(held)
+                        total += held.size
+            if not total:
                 return
             sizes = np.concatenate(sizes)
             table = pa.Table.from_batches(keys).combine_chunks()
-            data = np.memmap(f"{folder}/bytes", np.uint8, "r", shape=(kept,))
-            again = repeated_windows(table["id"].to_numpy(), table["start"].to_numpy(), sizes, data, length, folder)
-            begin = np.concatenate([[0], np.cumsum(sizes)])
-            spans = []
-            for k in range(len(sizes)):
-                own = again[begin[k]:begin[k + 1] - length + 1]
-                edge = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0))
-                spans.append(edge.astype("<u4").tobytes())
-            for batch in table.append_column("spans", pa.array(spans, pa.binary())).to_batches():
+            key, ids, starts = (table[n].to_numpy() for n in ("key", "id", "start"))
+            repeat, sort = _contest(key, np.frombuffer(b"".join(digests), np.int64), ids, starts)
+            del digests
+            spans = [b""] * len(sizes)
+            for k in np.flatnonzero(repeat).tolist():
+                spans[k] = np.array([0, sizes[k] - length + 1], "<u4").tobytes()
+            chosen = np.flatnonzero(sort)
+            if len(chosen):
+                begin = np.concatenate([[0], np.cumsum(sizes)])
+                whole = np.memmap(f"{folder}/all", np.uint8, "r", shape=(total,))
+                with open(f"{folder}/bytes", "wb") as f:
+                    for k in chosen.tolist():
+                        f.write(whole[begin[k]:begin[k + 1]])
+                own = sizes[chosen]
+                data = np.memmap(f"{folder}/bytes", np.uint8, "r", shape=(int(own.sum()),))
+                found = repeated_windows(ids[chosen], starts[chosen], own, data, length, folder)
+                begin = np.concatenate([[0], np.cumsum(own)])
+                for n, k in enumerate(chosen.tolist()):
+                    part = found[begin[n]:begin[n + 1] - length + 1]
+                    spans[k] = np.flatnonzero(np.diff(part.astype(np.int8), prepend=0, append=0)).astype("<u4").tobytes()
+            for batch in table.drop_columns(["key"]).append_column("spans", pa.array(spans, pa.binary())).to_batches():
                 yield batch
         finally:
             shutil.rmtree(folder, ignore_errors=True)
@@ -384,8 +433,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # texts and notes both grow with the corpus: merge joins at every size
     contested = info.where(F.octet_length("contested") > 0).select("id", "print", "contested")
     cut = own.join(contested.hint("merge"), ["id", "print"]).mapInArrow(
-        _cut_out(length), "anchor long, id long, print long, start long, bytes binary")
-    sorted_ = cut.repartition(shards, "anchor").select("id", "print", "start", "bytes").mapInArrow(
+        _cut_out(length, gram), "key long, id long, print long, start long, bytes binary")
+    sorted_ = cut.repartition(shards, "key").mapInArrow(
         _sort_shards(length), "id long, print long, start long, spans binary")
     spans = materialize(sorted_.where(F.octet_length("spans") > 0), "repeat-spans")
     by_doc = spans.groupBy("id", "print").agg(F.collect_set(F.struct("start", "spans")).alias("spans"))
