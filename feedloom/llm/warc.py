@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import struct
 import uuid
 import zlib
@@ -43,6 +44,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 FILE_BYTES = 64 << 20
 SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 15  # of a file, read at once
 _HEAD = 2048  # bytes inflated to look at the headers, more if they go on
 
 
@@ -112,34 +114,86 @@ class Wanted:
                 and all((value[n] or "").startswith(p) and value[n] is not None for n, p in self.prefix.items()))
 
 
-def read_records(data: bytes, wanted: Wanted, payloads: bool) -> Iterator[dict]:
-    """Records of one archive.  Of unwanted ones only the headers are inflated."""
-    view, at = memoryview(data), 0
-    while at < len(view):
-        size = _member_length(view[at:at + 24])
-        if size is not None and at + size > len(view):
+class _Blocks:
+    """A file read forward in blocks, of which what was not used goes back."""
+
+    def __init__(self, file):
+        self.file, self.held, self.at = file, b"", 0
+        self.end = file.seek(0, 2) or file.tell()
+        file.seek(0)
+        self.place = 0  # in the file, of the first byte of ``held``
+
+    def position(self) -> int:
+        return self.place + self.at
+
+    def peek(self, n: int) -> bytes:
+        if len(self.held) - self.at < n:
+            self.place, self.held, self.at = self.position(), self.held[self.at:] + self.file.read(max(n, BLOCK_BYTES)), 0
+        return self.held[self.at:self.at + n]
+
+    def take(self, most: int) -> memoryview:
+        """The next bytes, at least one and at most ``most``; none at the end of the file."""
+        if self.at == len(self.held):
+            self.place, self.held, self.at = self.position(), self.file.read(BLOCK_BYTES), 0
+        out = memoryview(self.held)[self.at:self.at + most]
+        self.at += len(out)
+        return out
+
+    def back(self, n: int) -> None:
+        self.at -= n
+
+    def go(self, position: int) -> None:
+        if self.place <= position <= self.place + len(self.held):
+            self.at = position - self.place
+        else:
+            self.file.seek(position)
+            self.place, self.held, self.at = position, b"", 0
+
+
+def read_records(source, wanted: Wanted, payloads: bool) -> Iterator[dict]:
+    """Records of one archive: bytes, or a file that can seek.
+
+    The file is read in blocks and a member at a time, so memory is bounded by one wanted record and work by the size
+    of the file.  Of unwanted records only the headers are inflated and the rest is not read where the member tells its length
+    (``sl``); where it does not, the member is run through to its end and what it holds is dropped."""
+    blocks = _Blocks(io.BytesIO(source) if isinstance(source, (bytes, bytearray, memoryview)) else source)
+    while blocks.position() < blocks.end:
+        start, size = blocks.position(), _member_length(memoryview(blocks.peek(24)))
+        if size is not None and start + size > blocks.end:
             raise ValueError("truncated archive")
-        rest = view[at:at + size] if size else view[at:]
         inflater = zlib.decompressobj(31)
-        plain = bytearray(inflater.decompress(rest, _HEAD))
-        while b"\r\n\r\n" not in plain and not inflater.eof and inflater.unconsumed_tail:
-            plain += inflater.decompress(inflater.unconsumed_tail, _HEAD)
-        head, _, _ = bytes(plain).partition(b"\r\n\r\n")
-        if not head.startswith(b"WARC/"):
+        plain, head, headers, take = bytearray(), -1, {}, True
+        while not inflater.eof:
+            block = blocks.take(BLOCK_BYTES if size is None else min(BLOCK_BYTES, start + size - blocks.position()))
+            if not len(block):
+                break
+            done = False
+            while len(block) and not inflater.eof and not done:
+                more = inflater.decompress(block, _HEAD if head < 0 else BLOCK_BYTES)
+                block = inflater.unconsumed_tail
+                if take:
+                    plain += more
+                if head < 0:
+                    head = plain.find(b"\r\n\r\n")
+                    if head >= 0:
+                        if not plain.startswith(b"WARC/"):
+                            raise ValueError("not a WARC record")
+                        headers = parse_headers(bytes(plain[:head]))
+                        take = wanted.holds(headers)
+                        whole = payloads and headers.get("warc-type") != "revisit"
+                done = size is not None and head >= 0 and (not take or not whole and _http_complete(plain, head))
+            if done:
+                break
+        if inflater.eof:
+            blocks.back(len(inflater.unused_data))
+        elif head < 0 or size is None or take and (whole or not _http_complete(plain, head)):
+            raise ValueError("truncated archive")
+        if head < 0:
             raise ValueError("not a WARC record")
-        headers = parse_headers(head)
-        take = wanted.holds(headers)
-        if size is None or take:
-            revisit = headers.get("warc-type") == "revisit"
-            if size is None or (payloads and not revisit) or not _http_complete(plain, len(head)):
-                plain += inflater.decompress(inflater.unconsumed_tail)
-                if not inflater.eof:
-                    raise ValueError("truncated archive")
-        if size is None:
-            size = len(rest) - len(inflater.unused_data)
-        at += size
+        if size is not None:
+            blocks.go(start + size)
         if take:
-            yield _row(headers, bytes(plain), len(head) + 4, payloads)
+            yield _row(headers, bytes(plain), head + 4, payloads)
 
 
 def _http_complete(plain: bytearray, head: int) -> bool:
@@ -216,13 +270,12 @@ class WarcReader(DataSourceReader):
 
         for path in partition.paths:
             with store.open_input_file(path) as f:
-                data = f.read()  # a file is at most about FILE_BYTES, as the writer rolls them
-            for row in read_records(data, self.wanted, "payload" in names):
-                rows.append(row)
-                held += len(row["payload"] or b"") + 512
-                if held >= BATCH_BYTES:
-                    yield batch()
-                    rows, held = [], 0
+                for row in read_records(f, self.wanted, "payload" in names):
+                    rows.append(row)
+                    held += len(row["payload"] or b"") + 512
+                    if held >= BATCH_BYTES:
+                        yield batch()
+                        rows, held = [], 0
         if rows:
             yield batch()
 

@@ -1,6 +1,9 @@
 import base64
 import gzip
 import hashlib
+import io
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +107,55 @@ def test_empty_table_and_null_id(spark, tmp_path):
     warc.archive(pages(spark, [(None, "u", "x"), (3, "u", "x"), (None, "u", "y")]), str(tmp_path / "b"))
     got = sorted(repr(tuple(r)[:1] + tuple(r)[3:]) for r in warc.archived_pages(spark, str(tmp_path / "b")).collect())
     assert got == sorted(map(repr, [(3, "response", None), (None, "revisit", 3), (None, "response", None)]))
+
+
+class Counted(io.BytesIO):
+    """A file that tells how much of it was read."""
+
+    total = 0
+
+    def read(self, n=-1):
+        got = super().read(n)
+        self.total += len(got)
+        return got
+
+
+def foreign(records, size=9000):
+    r = random.Random(8)
+    rows = [dict(warc_type="response", target_uri=f"http://a/{k}", payload=r.randbytes(size)) for k in range(records)]
+    return rows, b"".join(gzip.compress(warc.record_bytes(x), 1) for x in rows)
+
+
+def test_archives_of_others_are_read_in_linear_time():
+    """Members without their length: every byte of the file is read about once."""
+    seconds = []
+    for n in (250, 1000):
+        rows, data = foreign(n)
+        file, begin = Counted(data), time.process_time()
+        got = [x["payload"] for x in warc.read_records(file, warc.Wanted({}, {}), True)]
+        seconds.append(time.process_time() - begin)
+        assert got == [x["payload"] for x in rows]
+        assert file.total <= 1.1 * len(data) + 2 * warc.BLOCK_BYTES
+    assert seconds[1] <= 8 * seconds[0] + 0.2
+
+
+def test_unwanted_records_of_others_are_dropped_and_own_ones_not_read():
+    rows, data = foreign(60, 90_000)
+    none = warc.Wanted({"warc_type": frozenset(["revisit"])}, {})
+    assert list(warc.read_records(data, none, True)) == []
+    own = Counted(b"".join(warc.member(warc.record_bytes(x)) for x in rows))
+    assert list(warc.read_records(own, none, True)) == []
+    assert own.total <= 60 * 2 * warc.BLOCK_BYTES < len(own.getvalue())
+    some = warc.Wanted({"target_uri": frozenset(["http://a/59"])}, {})
+    assert [x["payload"] for x in warc.read_records(data, some, True)] == [rows[59]["payload"]]
+
+
+@pytest.mark.parametrize("size", [0, 1, 2000, 2047, 2048, 2049, 32_767, 32_768, 200_000])
+def test_records_at_the_edges_of_blocks(size):
+    plain = [warc.record_bytes(dict(warc_type="response", target_uri="http://x", payload=b"p" * size)) for _ in range(3)]
+    for pack in (warc.member, gzip.compress):
+        data = b"".join(map(pack, plain))
+        assert [x["payload"] for x in warc.read_records(data, warc.Wanted({}, {}), True)] == [b"p" * size] * 3
+        assert [x["payload_length"] for x in warc.read_records(data, warc.Wanted({}, {}), False)] == [size] * 3
+        with pytest.raises(ValueError):
+            list(warc.read_records(data[:-3], warc.Wanted({}, {}), True))
