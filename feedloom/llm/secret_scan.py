@@ -65,11 +65,43 @@ MIN_DISTINCT = 16
 _SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,value:string>>"
 
 
+CHUNK = 64  # elements of an array that one step of a scan looks at
+_OPAQUE = [*"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-"]
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a column that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _scanned(rows: Column, zero: Column, measure, join, element) -> Column:
+    """``element(x, before)`` of every x in an array, ``before`` being ``join`` over the measures of all
+    earlier ones: by chunks, whose totals are joined first, so that work grows with the array and not with its square."""
+    def total(part: Column, start: Column) -> Column:
+        return F.aggregate(part, start, lambda state, x: join(state, measure(x)))
+
+    def chunk(r: Column, c: Column) -> Column:
+        return F.slice(r, c * CHUNK + 1, F.lit(CHUNK))
+
+    def own(part: Column, start: Column) -> Column:
+        places = F.transform(part, lambda x, i: F.struct(x.alias("x"), total(F.slice(part, F.lit(1), i), start).alias("before")))
+        return F.transform(places, lambda p: element(p["x"], p["before"]))
+
+    def whole(r: Column) -> Column:
+        every = F.sequence(F.lit(0), F.floor((F.size(r) - 1) / CHUNK).cast("int"))
+        totals = F.transform(every, lambda c: total(chunk(r, c), zero))
+        return _let(totals, lambda t: F.flatten(F.transform(every, lambda c: _let(
+            F.struct(chunk(r, c).alias("part"), F.aggregate(F.slice(t, F.lit(1), c), zero, join).alias("start")),
+            lambda k: own(k["part"], k["start"])))))
+
+    return _let(rows, lambda r: F.when(F.size(r) > 0, whole(r)))
+
+
 def _shaped(kind: str, value: Column) -> Column:
     if kind != "opaque":
         return F.lit(True)
-    return (value.rlike("[A-Z]") & value.rlike("[a-z]") & value.rlike("[0-9].*[0-9]")
-            & (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT))
+    distinct = F.aggregate(F.array(*map(F.lit, _OPAQUE)), F.lit(0), lambda n, c: n + F.contains(value, c).cast("int"))
+    return (value.rlike("[A-Z]") & value.rlike("[a-z]") & value.rlike("[0-9].*[0-9]")) & (distinct >= MIN_DISTINCT)
 
 
 def _spans(text: Column, no: int, kind: str) -> Column:
@@ -86,18 +118,14 @@ def _spans(text: Column, no: int, kind: str) -> Column:
         F.length(gap).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("long")))
     rows = F.zip_with(lengths, values, lambda x, v: F.struct(x["gap"].alias("gap"), x["long"].alias("long"), v.alias("value")))
     none = F.lit(None).cast(_SPAN)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        span = F.struct(begin.alias("start"), F.lit(no).alias("kind_no"), (begin + x["long"]).alias("end"),
-                        F.lit(kind).alias("kind"), x["value"].alias("value"))
-        good = x["value"].isNotNull() & (F.length(x["value"]) >= least) & _shaped(kind, x["value"])
-        more = F.when(good, F.array(span)).otherwise(F.array().cast(_SPAN))
-        return F.struct((begin + x["long"]).alias("at"), F.concat(state["out"], more).alias("out"))
+    def span(x: Column, before: Column) -> Column:
+        begin = before + x["gap"]
+        return F.struct(begin.alias("start"), F.lit(no).alias("kind_no"), (begin + x["long"]).alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
 
-    spans = F.aggregate(rows, start, step, lambda s: s["out"])
-    return F.coalesce(F.when(text.rlike(HINTS[kind]), spans).otherwise(none), F.array().cast(_SPAN))
+    spans = F.filter(_scanned(rows, F.lit(0), lambda x: x["gap"] + x["long"], lambda m, n: m + n, span),
+                     lambda x: x["value"].isNotNull() & (F.length(x["value"]) >= least) & _shaped(kind, x["value"]))
+    return F.coalesce(F.when(text.rlike(HINTS[kind]), spans.cast(_SPAN)).otherwise(none), F.array().cast(_SPAN))
 
 
 def candidate_spans(text: Column) -> Column:
@@ -162,6 +190,26 @@ def _or_null(column: Column | None, name: str) -> Column:
     return (F.lit(None) if column is None else column).cast("string").alias(name)
 
 
+def _marked(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with a mark for every maximal run of overlapping ``spans`` (by start; at least one)."""
+    # of every run: where the text before it begins, and where the run does
+    gaps = F.filter(_scanned(spans, F.lit(0), lambda s: s["end"], lambda m, n: F.greatest(m, n),
+                             lambda s, before: F.struct(before.alias("begin"), s["start"].alias("end"))), lambda g: g["end"] >= g["begin"])
+
+    def part(g: Column, c: Column) -> Column:
+        """Some gaps, cut from a stretch of the text that is cut out once."""
+        own = F.slice(g, c * CHUNK + 1, F.lit(CHUNK))
+        first = F.element_at(own, 1)["begin"]
+        return _let(F.struct(own.alias("own"), first.alias("first"), F.substring(text, first + 1, F.element_at(own, -1)["end"] - first).alias("stretch")),
+                    lambda p: F.array_join(F.transform(p["own"], lambda x: F.concat(
+                        F.substring(p["stretch"], x["begin"] - p["first"] + 1, x["end"] - x["begin"]), F.lit(mark))), ""))
+
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
+    before = _let(gaps, lambda g: F.array_join(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(g) - 1) / CHUNK).cast("int")), lambda c: part(g, c)), ""))
+    return F.concat(before, F.substring(text, last + 1, F.length(text)))
+
+
 def redact(df: DataFrame, text_col: str = "text", owner: Column | None = None, repository: Column | None = None,
            max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, mark: str = "[secret]") -> DataFrame:
     """``df`` with every kept span of its texts replaced by ``mark`` (overlapping spans: one mark).
@@ -179,16 +227,5 @@ def redact(df: DataFrame, text_col: str = "text", owner: Column | None = None, r
         candidate_spans(text).alias("all_spans"), F.monotonically_increasing_id().alias("row"))
     found = materialize(narrow, "secret-texts")
     judged = _judged(found, max_owners, max_repositories)
-    whole = F.col(at)
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(whole, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        new = s["start"] >= state["at"]
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"),
-                        F.when(new, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cleaned = F.aggregate("kept_spans", start, step, lambda s: F.concat(
-        s["out"], F.substring(whole, s["at"] + 1, F.length(whole))))
-    marked = judged.withColumn(at, F.when(F.size("kept_spans") > 0, cleaned).otherwise(whole))
+    marked = judged.withColumn(at, F.when(F.size("kept_spans") > 0, _marked(F.col(at), F.col("kept_spans"), mark)).otherwise(F.col(at)))
     return df.where(~hinted).unionByName(marked.select(*back))

@@ -352,3 +352,14 @@ def test_logins_of_any_length(spark):
     rows = [(1, f"at https://{'u' * 80}:{token}@host/x and", "a"), (2, f"git://me:{token[:90]}@host", "b"), (3, "http://u:short@h http://u:sixsix@h", "c")]
     got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), owner=F.col("source")).collect()}
     assert got == {1: "login:8:185", 2: "login:3:100", 3: "login:21:33"}
+
+
+def test_a_text_with_many_secrets(spark):
+    """Work grows with the matches, and places and marks hold over all chunks of a scan."""
+    for n in (1, 63, 64, 65, 129, 20_000):
+        text = "é" + " ".join(f"password = hunter{k:08d} ok" for k in range(n)) + " end"
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        row = secret_scan.scan(df).first()
+        want = [m.span() for m in re.finditer(r"password = hunter[0-9]{8}", text)]
+        assert row.n_assign == n and row.spans == ",".join(f"assign:{a}:{b}" for a, b in want)
+        assert secret_scan.redact(df).first().text == re.sub(r"password = hunter[0-9]{8}", "[secret]", text)
