@@ -7,7 +7,8 @@ multiplicative weights hold a price per length, a knapsack dynamic program finds
 the configurations (multisets of lengths) that are worth most at these prices,
 they are used for part of the pieces and their prices fall, until every length is
 covered.  Numbers of sequences are rounded down; what that leaves is filled best
-fit, whole runs of equal sequences at a time.  The plan is a table of (length, rank range)
+fit, whole runs of equal sequences at a time.  Plans from all, some and none of the
+configurations are compared, and the one with the fewest sequences counts.  The plan is a table of (length, rank range)
 -> sequences; pieces get their rank within their length in Spark and look it up.
 
 Defined results: null and empty texts are one piece (the end token alone); rows
@@ -311,6 +312,26 @@ def rounded_plan(histogram: dict[int, int], fractional: list[tuple[dict[int, int
     return plan
 
 
+def best_plan(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[dict[int, int], int]]:
+    """The rounded plan with the fewest sequences among those that use all of the program's configurations, a part
+    of them (the first found are worth most), or none: plain best fit, which is never beaten by the plan."""
+    found = fractional_plan(histogram, capacity, rounds)
+    plans = [rounded_plan(histogram, found[:len(found) * k // 4], capacity) for k in (4, 3, 2, 1, 0)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def sequences_needed(histogram: dict[int, int], capacity: int) -> int:
+    """A lower bound: the tokens over the capacity, and the dual value of prices 1 / (copies that fit)."""
+    lengths = np.array(sorted(histogram), np.int64)
+    pieces = np.array([histogram[x] for x in lengths], float)
+    most = 0.0
+    for prices in (lengths.astype(float), 1.0 / (capacity // lengths), np.where(2 * lengths > capacity, 1.0, np.where(3 * lengths > capacity, 0.5, 0.0))):
+        worth, _ = knapsack(lengths, prices, capacity)
+        if worth[capacity] > 0:
+            most = max(most, float(pieces @ prices) / float(worth[capacity]))
+    return -int(-(most - 1e-9) // 1)
+
+
 def slots(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:
     """Rows (length, first rank, first sequence, copies in a sequence, first offset), by length and rank."""
     rows, next_rank, sequence = [], {}, 0
@@ -333,7 +354,7 @@ def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY, rounds: i
                  pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
     if any(x > capacity or x < 1 for x in histogram):
         raise ValueError(f"piece lengths must lie between 1 and {capacity}")
-    table = slots(rounded_plan(histogram, fractional_plan(histogram, capacity, rounds), capacity))
+    table = slots(best_plan(histogram, capacity, rounds))
     lots = max(1, -(-sum(histogram.values()) // RANK_ROWS))
     dealt = pieces.withColumn("p_lot", F.pmod(F.xxhash64(*keys), F.lit(lots)))
     own = Window.partitionBy("length", "p_lot")

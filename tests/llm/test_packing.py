@@ -93,3 +93,26 @@ def test_thousands_of_lengths_are_covered_by_the_program():
     assert len(histogram) > 2500 and covered == histogram
     sequences = sum(times for _, times in packing.rounded_plan(histogram, plan, 4096))
     assert sequences <= 1.002 * -(-int(lengths.sum()) // 4096)
+
+
+def made_histograms():
+    r = np.random.default_rng(3)
+    yield np.clip(r.lognormal(6.2, 1.1, 40000), 1, 4096)
+    yield r.integers(1366, 2200, 20000)
+    yield r.integers(1800, 2400, 20000)
+    yield r.choice([700, 900, 1100, 1300, 1500, 1900, 2500], 20000)
+    yield r.integers(1000, 1700, 20000)
+
+
+@pytest.mark.parametrize("lengths", list(made_histograms()), ids=["lognormal", "thirds", "halves", "seven", "thirds-and-quarters"])
+def test_never_more_sequences_than_best_fit(lengths):
+    histogram = dict(zip(*(v.tolist() for v in np.unique(lengths.astype(int), return_counts=True))))
+    used = sum(times for _, times in packing.best_plan(histogram, 4096))
+    assert used <= sum(times for _, times in packing.rounded_plan(histogram, [], 4096))
+    assert packing.sequences_needed(histogram, 4096) <= used
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 6), min_size=1, max_size=5))
+def test_the_bound_is_one(histogram):
+    assert packing.sequences_needed(histogram, 40) <= sum(times for _, times in packing.best_plan(histogram, 40))
