@@ -3,16 +3,15 @@
 Every stage works on all that the one before kept.  All stages but the last
 return the columns of documents, whatever they are called; ``n_chars``, where it
 is a column, follows the text.  Null texts and empty tables pass through with the
-results that the operators define, and so do rows with a null or repeated doc_id,
-except that the near-duplicate stage goes by doc_id: of rows that repeat one it
-keeps a single row, so a different text under the same doc_id is lost, and rows
-with a null doc_id all stay, exact copies included.
+results that the operators define, and so do rows with a null or repeated doc_id.
+The near-duplicate stage goes by rows: different texts under one doc_id all stay,
+and of copies one stays, whatever their doc_ids.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
@@ -46,15 +45,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the least doc_id."""
-    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"))
-    stays = groups.where("doc_id = component_id").select(F.col("doc_id").alias("g_id")).distinct()
+    """One row of each group of near-duplicates stays, the one with the least doc_id (null: after all others)."""
     own, names, back = _renamed(docs)
-    key, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
-    first = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
-    kept = (own.where(key.isNotNull()).join(stays.hint("merge"), key.cast("long") == F.col("g_id"), "left_semi")
-            .withColumn("g_place", F.row_number().over(first)).where("g_place = 1"))
-    return kept.select(*back).unionByName(docs.where(F.col("doc_id").isNull()))
+    key, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    rows = materialize(own.withColumn("g_row", F.monotonically_increasing_id()), "numbered")  # fixes the numbers
+    groups = jaccard_join.jaccard_components(rows.select("g_row", F.col(text).alias("text")), id_col="g_row")
+    order = F.struct(F.col(key).isNull().alias("g_last"), F.col(key).alias("g_id"), "g_row")
+    stays = (groups.select("g_row", "component_id").join(rows.select("g_row", key).hint("merge"), "g_row")
+             .groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.g_row").alias("g_row")))
+    return rows.join(stays.hint("merge"), "g_row", "left_semi").select(*back)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
