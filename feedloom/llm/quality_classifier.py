@@ -29,6 +29,7 @@ from feedloom.session import materialize
 
 CELLS = 1 << 17
 SAMPLE_ROWS = 8000  # training documents that the hinge loss sees, at most
+SAMPLE_CELLS = 1 << 26  # and their cells, together
 SMOOTHING = 1.0
 COST = 1.0
 PASSES = 12
@@ -116,9 +117,24 @@ class Model:
 NO_MODEL = Model(np.zeros(CELLS), np.ones(CELLS), 0.0)
 
 
+def _sample(rows: DataFrame, most: int) -> list:
+    """Rows (label, cells) in seeded order of their cells, at most so many and SAMPLE_CELLS cells: ids that labels or
+    documents repeat bring more rows than were drawn, and long texts more cells."""
+    seeded = rows.select("label", "cells", F.xxhash64(F.lit(SEED), "cells").alias("place"), (F.octet_length("cells") / 4).cast("long").alias("n"))
+    total, last = 0, None
+    for r in seeded.select("place", "n").orderBy("place", "n").limit(most).collect():
+        total += r["n"]
+        if total > SAMPLE_CELLS and last is not None:
+            break
+        last = r["place"]
+    if last is None:
+        return []
+    return seeded.where(F.col("place") <= last).orderBy("place", "cells", "label").limit(most).orderBy("cells", "label").select("label", "cells").collect()
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on the labelled documents."""
+    """Fit on the labelled documents: counts over all of them, the hinge loss on a sample of at most ``sample_rows``."""
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where("label in (0, 1)")
     seeded = known.withColumn("place", F.xxhash64(F.lit(SEED), F.col("id").cast("string")))
     bounds = []
@@ -134,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     train = own.join(picked.hint("merge"), "id").select("text", "label", "picked")
     gathered = materialize(_gathered(train), "classifier-features")
     counts = arrow.summed_vectors(gathered.where("part is not null"), 2 * CELLS).reshape(2, CELLS)
-    sample = gathered.where("label is not null").select("label", "cells").orderBy("cells", "label").collect()
+    sample = _sample(gathered.where("label is not null").select("label", "cells"), sample_rows)
     if not counts.sum(axis=1).all():
         return NO_MODEL
     bad, good = counts + SMOOTHING

@@ -1,13 +1,16 @@
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from feedloom.llm import quality_classifier, quality_rules
+from feedloom.llm import text as tx
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -66,6 +69,37 @@ def test_ratio_rejects_unlike_documents_and_keeps_clean_ones(spark):
     assert all(abs(again[i] - got[i].log_ratio) < 1e-9 for i in again)
 
 
+def cell(words, cells):
+    """The hashed cell of one n-gram, made on its own."""
+    data, offsets = tx.raw(pa.array([" ".join(words)], pa.large_string()))
+    starts, ends, first = tx.word_spans(data, offsets)
+    grams, _ = tx.gram_hashes(tx.word_hashes(data, starts, ends), first, len(words))
+    return int(grams[0]) % cells
+
+
+def grams(text, sizes):
+    words = WORD.findall(text or "")
+    return [tuple(words[k:k + n]) for n in sizes for k in range(len(words) - n + 1)]
+
+
+def test_ratio_and_verdict_equal_brute_force(spark):
+    rows = corpus(60, 4) + [(60, None, 0), (61, "", 0), (62, "g1 g2 " * 40, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(3)
+    got = {r.doc_id: r for r in quality_rules.quality_rules(df, df.where("quality = 1 and doc_id % 3 = 0")).collect()}
+    memo = {}
+    held = {i: Counter(memo.setdefault(g, cell(g, quality_rules.BUCKETS)) for g in grams(t, quality_rules.GRAMS)) for i, t, _ in rows}
+    raw, target = Counter(), Counter()
+    for i, _, q in rows:
+        raw.update(held[i])
+        target.update(held[i] if q == 1 and i % 3 == 0 else {})
+    scale = sum(target.values()) / sum(raw.values())
+    for i, t, _ in rows:
+        parts = [n * math.log((target[c] + quality_rules.PSEUDO) / (max(raw[c] - n, 0) * scale + quality_rules.PSEUDO)) for c, n in held[i].items()]
+        want = sum(parts) / max(sum(held[i].values()), 1)
+        assert got[i].log_ratio == pytest.approx(want, abs=1e-9)
+        assert got[i].kept == (not base_counts(t)[-1] and got[i].log_ratio >= quality_rules.THRESHOLD)
+
+
 def test_rules_on_empty_table(nothing):
     assert quality_rules.quality_rules(nothing, nothing).collect() == []
 
@@ -93,6 +127,36 @@ def test_sample_bound_is_a_parameter(spark):
     assert np.mean([r.predicted == rows[r.doc_id][2] for r in got]) > 0.95
 
 
+def test_scores_equal_brute_force(spark):
+    rows = corpus(120, 3) + [(120, None, 1), (121, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").select("doc_id", "text").repartition(3)
+    model = quality_classifier.fit(docs, spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"))
+    memo, held = {}, {i: set() for i, _, _ in rows}
+    for i, t, _ in rows:
+        held[i] = {memo.setdefault(g, cell(g, quality_classifier.CELLS)) for g in grams(t, (1, 2))}
+    counts = [Counter(c for i, _, q in rows if q == k for c in held[i]) for k in (0, 1)]
+    totals = [sum(c.values()) + quality_classifier.CELLS * quality_classifier.SMOOTHING for c in counts]
+    for i, _, _ in rows:
+        square = sum((math.log((counts[1][c] + 1) / totals[1]) - math.log((counts[0][c] + 1) / totals[0])) ** 2 for c in held[i])
+        margin = sum(model.weights[c] for c in held[i]) / math.sqrt(max(square, 1e-12)) + model.bias
+        want = 1 / (1 + math.exp(-quality_classifier.SHARPNESS * margin))
+        got = quality_classifier.score(docs.where(F.col("doc_id") == i), model).first() if i % 17 == 0 or i > 119 else None
+        assert got is None or (got.score == pytest.approx(want, abs=1e-9) and got.predicted == int(want >= 0.5))
+
+
+def test_repeated_labels_and_long_texts_keep_the_sample_bounded(spark, monkeypatch):
+    rows = corpus(80, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").select("doc_id", "text")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows] + [(0, 1)] * 300 + [(5, 0)] * 200, "doc_id long, quality int")
+    seen = []
+    descent = quality_classifier.dual_coordinate_descent
+    monkeypatch.setattr(quality_classifier, "dual_coordinate_descent", lambda r, *a: seen.append(r) or descent(r, *a))
+    quality_classifier.fit(docs, labels, sample_rows=100)
+    monkeypatch.setattr(quality_classifier, "SAMPLE_CELLS", 4000)
+    quality_classifier.fit(docs, labels.limit(80), sample_rows=100)
+    assert len(seen[0]) <= 100 and 1 < len(seen[1]) < 80 and sum(map(len, seen[1])) <= 4000
+
+
 @pytest.mark.parametrize("table", ["hostile", "clashing", "nothing"])
 def test_scores_of_odd_rows(request, spark, table):
     df = request.getfixturevalue(table)
