@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -77,3 +78,12 @@ def vector_parts(counts: np.ndarray, parts: int) -> pa.RecordBatch:
 
 
 VECTOR_SCHEMA = "part int, lot long, vector binary"
+
+
+def give_back() -> None:
+    """Free memory of this worker goes back to the system: Spark keeps workers for later tasks, and
+    what arrays of a task have left in the heap would add to theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if trim:
+        trim(0)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from feedloom.llm import arrow
 from feedloom.llm import text as tx
 from feedloom.session import materialize
 
@@ -171,6 +172,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                     made.append(pa.array(parts, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(made, names)
+        arrow.give_back()
 
     if with_ids:
         fields.append(StructField("ids", BinaryType()))
