@@ -27,6 +27,24 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_pairs_are_made_in_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIRS", 1000)
+    rows = spark.createDataFrame([("hot", k) for k in range(200)], "k string, x int")
+    got = pairs.pairs_sharing(rows, "k", "x", 16)
+    assert got.count() == 200 * 199 // 2
+    assert "RepartitionByExpression [key" in plan(got) and ", 20" in plan(got)
+
+
+def test_liked_lists_meet_once_by_user(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "LIKES", 1)
+    likes = spark.createDataFrame([("u", "a"), ("u", "b"), ("v", "b")], PAIR)
+    near = spark.createDataFrame([("a", "b", 0.9), ("a", "c", 0.5), ("b", "c", 0.25), ("b", "d", 0.75)], "item_id string, other_id string, similarity double")
+    seen = likes.unionByName(spark.createDataFrame([("v", "d"), ("w", "c"), (None, "c")], PAIR))
+    users = spark.createDataFrame([("u",), ("u",), ("v",), ("w",), (None,)], "user_id string")
+    got = pairs.recommend_by_neighbours(likes, near, seen, users, 2)
+    assert sorted(map(tuple, got.select("user_id", "item_id", "rank", "score").collect())) == [("u", "c", 1, 0.75), ("u", "d", 2, 0.75), ("v", "c", 1, 0.25)]
+
+
 def test_users_meet_only_items_long_enough(spark, monkeypatch):
     r = np.random.default_rng(4)
     users, items = r.normal(size=(40, 4)), r.normal(size=(300, 4)) * 0.98 ** np.arange(300)[:, None]
