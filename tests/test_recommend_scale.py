@@ -27,6 +27,16 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_light_users_make_pairs_from_one_list(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("no user is heavy")
+
+    monkeypatch.setattr(item_item, "pairs_sharing", never)
+    likes = spark.createDataFrame([(u, i) for u in ("a", "b") for i in ("x", "y", "z")] + [("c", "x"), ("c", "lone")], PAIR)
+    got = item_item.co_occurrence(likes, 2, 0.0).collect()
+    assert sorted(map(tuple, got)) == [("x", "y", 2, 3, 2), ("x", "z", 2, 3, 2), ("y", "z", 2, 2, 2)]
+
+
 def test_pairs_are_made_in_as_many_tasks_as_they_ask_for(spark, monkeypatch):
     monkeypatch.setattr(pairs, "PAIRS", 1000)
     rows = spark.createDataFrame([("hot", k) for k in range(200)], "k string, x int")
