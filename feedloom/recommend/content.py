@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from feedloom.operators.label import LabelPolicy
 from feedloom.operators.scalars import combine_one_row
 from feedloom.recommend.item_item import liked
-from feedloom.recommend.pairs import BLOCK, pairs_sharing, recommend_by_neighbours, top_neighbours
+from feedloom.recommend.pairs import BLOCK, pairs_sharing, recommend_by_neighbours
 from feedloom.session import materialize
 
 SCALE = 10**6
@@ -79,16 +79,21 @@ def content_neighbours(items: DataFrame, neighbours: int = 20, threshold: float
     alike = vectors.groupBy("rep").agg(square.alias("dot")).where(F.col("dot") >= threshold * SCALE * SCALE)
     ways = [pairs.select(F.col(a).alias("rep"), F.col(b).alias("other"), "dot") for a, b in (("i", "j"), ("j", "i"))]
     ways.append(alike.select("rep", F.col("rep").alias("other"), "dot"))  # copies of the item itself
+    # a class's smallest id is its rep: no list needs more classes, in this order, than it has items
+    nearest = Window.partitionBy("rep").orderBy(F.desc("dot"), "other")
     near = ways[0].unionByName(ways[1]).unionByName(ways[2])
-    # no list reaches further into a class than its first members by id; one more, as an item may meet itself
+    near = near.select("*", F.row_number().over(nearest).alias("nth")).where(F.col("nth") <= neighbours + 1).drop("nth")
+    # nor reaches further into a class than its first members by id; one more, as an item may meet itself
     by_id = Window.partitionBy("rep").orderBy("item_id")
     heads = members.select("rep", "item_id", F.row_number().over(by_id).alias("nth")).where(F.col("nth") <= neighbours + 1)
     met = near.join(heads.select(F.col("rep").alias("other"), F.col("item_id").alias("other_id")), "other")
     listed = Window.partitionBy("rep").orderBy(F.desc("dot"), "other_id")
     met = met.select("rep", "other_id", "dot", F.row_number().over(listed).alias("nth")).where(F.col("nth") <= neighbours + 1)
-    similarity = (F.col("dot") / (SCALE * SCALE)).alias("similarity")
-    whole = members.join(met, "rep").where(F.col("item_id") != F.col("other_id")).select("item_id", "other_id", similarity)
-    return top_neighbours(whole, neighbours)
+    # one ordered list a class, which each of its members reads without itself
+    lists = materialize(met.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("nth", "other_id", "dot"))).alias("list")), "lists")
+    others = F.slice(F.filter("list", lambda x: x["other_id"] != F.col("item_id")), 1, neighbours)
+    own = members.join(lists, "rep").select("item_id", F.posexplode(others).alias("at", "other"))
+    return own.select("item_id", "other.other_id", (F.col("other.dot") / (SCALE * SCALE)).alias("similarity"), (F.col("at") + 1).alias("rank"))
 
 
 def recommend_by_content(train: DataFrame, items: DataFrame, users: DataFrame, k: int = 10, neighbours: int = 20, threshold: float = 0.3,

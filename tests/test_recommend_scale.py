@@ -37,6 +37,18 @@ def test_light_users_make_pairs_from_one_list(spark, monkeypatch):
     assert sorted(map(tuple, got)) == [("x", "y", 2, 3, 2), ("x", "z", 2, 3, 2), ("y", "z", 2, 2, 2)]
 
 
+def test_classes_of_copies_bring_few_rows_to_a_list(spark, monkeypatch):
+    written = watched(monkeypatch, content)
+    items = spark.createDataFrame([(f"{w}{k:02d}", f"red {w}") for w in "abcdef" for k in range(30)], "item_id string, item_text string")
+    got = content.content_neighbours(items, 4, 0.01).collect()
+    assert [len(r.list) for r in written["lists"].collect()] == [5] * 6
+    near = {}
+    for r in got:
+        near.setdefault(r.item_id, []).append((r.rank, r.other_id))
+    assert len(near) == 180 and all(len(x) == 4 for x in near.values())
+    assert sorted(near["b01"]) == [(1, "b00"), (2, "b02"), (3, "b03"), (4, "b04")]
+
+
 def test_pairs_are_made_in_as_many_tasks_as_they_ask_for(spark, monkeypatch):
     monkeypatch.setattr(pairs, "PAIRS", 1000)
     rows = spark.createDataFrame([("hot", k) for k in range(200)], "k string, x int")
