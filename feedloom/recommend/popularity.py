@@ -48,7 +48,8 @@ def _free_places(held: DataFrame, who: DataFrame, n: int, k: int, block: int) ->
     nothing = F.array().cast("array<int>")
     opened = opened.unionByName(first.select("user_id", "block", nothing.alias("places")))
     low = F.col("block") * F.lit(block)
-    span = F.sequence(low, F.least(low + F.lit(block - 1), F.lit(n - 1)))
+    # the first k free places of a block lie within its first k + taken ones
+    span = F.sequence(low, F.least(low + F.lit(block - 1), F.lit(n - 1), low + F.size("places") + F.lit(k - 1)))
     free = opened.select("user_id", F.explode(F.slice(F.array_except(span, F.col("places")), 1, k)).alias("place"))
     rank = F.row_number().over(Window.partitionBy("user_id").orderBy("place"))
     return free.select("user_id", "place", rank.alias("rank")).where(F.col("rank") <= k)

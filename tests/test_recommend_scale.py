@@ -27,6 +27,14 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_free_places_are_looked_for_among_the_first_only(spark):
+    held = spark.createDataFrame([("u", 0), ("u", 2), ("v", 4095)], "user_id string, place int")
+    who = spark.createDataFrame([("u",), ("v",), ("w",)], "user_id string")
+    got = popularity._free_places(held, who, 9000, 3, 4096)
+    assert "size(places" in plan(got)
+    assert sorted((r.user_id, r.place) for r in got.collect()) == [(u, p) for u, ps in (("u", (1, 3, 4)), ("v", (0, 1, 2)), ("w", (0, 1, 2))) for p in ps]
+
+
 def test_light_users_make_pairs_from_one_list(spark, monkeypatch):
     def never(*_):
         raise AssertionError("no user is heavy")
