@@ -16,9 +16,10 @@ K = max(KS)
 
 
 def parted(spark, d, source, **shares):
-    """Cleaned interactions with their part, written once."""
-    clean = materialize((events_interactions if source == "events" else lines_interactions)(spark, d, False), f"{source}-interactions")
-    return materialize(split.chronological_split(clean, **shares), f"{source}-split")
+    """Cleaned interactions with their part, written once; the part follows from the time where it is read."""
+    clean = (events_interactions if source == "events" else lines_interactions)(spark, d, False)
+    clean = materialize(clean.select("user_id", "item_id", "timestamp_ms", "rating", "ordinal"), f"{source}-interactions")
+    return split.chronological_split(clean, **shares)
 
 
 def training(parts):
@@ -166,7 +167,8 @@ def q_model_comparison(source):
 def _served(spark, d):
     """Personal lists first, popular items for the rest, from an early cut of the larger view."""
     train, relevant, lists = _lists(spark, d, "lines", **EARLY)
-    return train, relevant, coldstart.fill_up([lists["collaborative"], lists["content"], lists["popular"]], K)
+    served = coldstart.fill_up([lists["collaborative"], lists["content"], lists["popular"]], K)
+    return train, relevant, materialize(served, "served")
 
 
 def q_served(spark, d):

@@ -89,3 +89,11 @@ def test_users_meet_only_items_long_enough(spark, monkeypatch):
     assert written["asked"].count() < 40 * 14 / 2
     same = factorize.recommend_factorised(model, spark.createDataFrame(seen, "user_idx int, item_idx int"), tables[0].select(tables[0].id.alias("user_idx")), 60, 7)
     assert same.groupBy("user_idx").count().where("count = 60").count() == 40
+
+
+def test_interactions_are_written_once(spark, monkeypatch, tmp_path):
+    written = watched(monkeypatch, recommend_queries)
+    rows = spark.createDataFrame([("u", "i", t, 4.0, t, True) for t in range(10)], "user_id string, item_id string, timestamp_ms long, rating float, ordinal long, verified_purchase boolean")
+    monkeypatch.setattr(recommend_queries, "events_interactions", lambda *_: rows)
+    assert recommend_queries.parted(spark, "", "events").groupBy("split").count().count() == 3
+    assert list(written) == ["events-interactions"] and "verified_purchase" not in written["events-interactions"].columns
