@@ -58,8 +58,8 @@ def q_built_summary(spark, d):
 def _labeled(spark, d):
     """Stored tables of the larger view through the gate and the labelling job; the folder it wrote."""
     out = scratch_path(spark, "labeled")
-    inter, items = q.stored_tables(spark, d, "lines")
-    inter.write.parquet(f"{out}/interactions.parquet")
+    q.lines_interactions(spark, d, False).write.parquet(f"{out}/interactions.parquet")
+    items = clean.clean_items(fx.raw_items(spark, d), spark.read.parquet(f"{out}/interactions.parquet"), sort=False)
     items.write.parquet(f"{out}/items.parquet")
     build.gate_and_label(spark, f"{out}/interactions.parquet", f"{out}/items.parquet", out)
     return out

@@ -97,3 +97,14 @@ def test_interactions_are_written_once(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(recommend_queries, "events_interactions", lambda *_: rows)
     assert recommend_queries.parted(spark, "", "events").groupBy("split").count().count() == 3
     assert list(written) == ["events-interactions"] and "verified_purchase" not in written["events-interactions"].columns
+
+
+def test_stored_tables_are_written_where_they_stay(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("written twice")
+
+    monkeypatch.setattr(queries, "materialize", never)
+    monkeypatch.setattr(queries, "lines_interactions", lambda *_: spark.createDataFrame([("u", "i1", 5.0, 1000, True, 0, 7)], "user_id string, item_id string, rating float, timestamp_ms long, verified_purchase boolean, helpful_votes int, ordinal long").selectExpr("*", "timestamp_millis(timestamp_ms) as event_time"))
+    raw = "ordinal long, parent_asin string, title string, description array<string>, features array<string>, store string, categories array<string>, price double, average_rating double, rating_number int"
+    monkeypatch.setattr(contract_queries.fx, "raw_items", lambda *_: spark.createDataFrame([(1, "i1", "t", ["d"], ["f"], "s", ["c"], 1.0, None, 3)], raw))
+    assert contract_queries.q_stored_label_summary(spark, "").first().interactions == 1
