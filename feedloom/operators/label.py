@@ -41,15 +41,13 @@ def label_interactions(interactions: DataFrame, policy: LabelPolicy = LabelPolic
     missing = missing_columns(interactions.columns, INTERACTION_REQUIRED)
     if missing:
         raise ValueError(messages.LABEL_MISSING_COLUMNS.format(columns=", ".join(missing)))
-    labeled = interactions.select(
+    if sort:  # before the labels are added: they need not move
+        interactions = interactions.orderBy("user_id", "timestamp_ms", *([ORDINAL] if ORDINAL in interactions.columns else []))
+    return interactions.select(
         "*",
         positive_flag(interactions, policy.positive_rating_threshold).alias("is_positive"),
         utc_date(F.col("event_time")).alias("event_date"),
     )
-    if not sort:
-        return labeled
-    order = ["user_id", "timestamp_ms"] + ([ORDINAL] if ORDINAL in labeled.columns else [])
-    return labeled.orderBy(*order)
 
 
 def label_summary(labeled: DataFrame) -> DataFrame:

@@ -108,3 +108,8 @@ def test_stored_tables_are_written_where_they_stay(spark, monkeypatch):
     raw = "ordinal long, parent_asin string, title string, description array<string>, features array<string>, store string, categories array<string>, price double, average_rating double, rating_number int"
     monkeypatch.setattr(contract_queries.fx, "raw_items", lambda *_: spark.createDataFrame([(1, "i1", "t", ["d"], ["f"], "s", ["c"], 1.0, None, 3)], raw))
     assert contract_queries.q_stored_label_summary(spark, "").first().interactions == 1
+
+
+def test_labels_are_added_after_the_sort(spark):
+    rows = spark.createDataFrame([("u", "i", 5.0, 1000, 1)], "user_id string, item_id string, rating float, timestamp_ms long, ordinal long").selectExpr("*", "timestamp_millis(timestamp_ms) as event_time")
+    assert plan(label.label_interactions(rows)).startswith("Project")
