@@ -91,6 +91,42 @@ def test_users_meet_only_items_long_enough(spark, monkeypatch):
     assert same.groupBy("user_idx").count().where("count = 60").count() == 40
 
 
+def test_ratings_and_vectors_are_moved_once(spark, monkeypatch):
+    """Rows that a shuffle brings while vectors are fitted: none, whatever the number of half-steps."""
+    monkeypatch.setattr(factorize, "PAGE_BITS", 3)
+    r = np.random.default_rng(6)
+    rows = [(u, i, float(r.integers(1, 6))) for u in range(60) for i in range(50) if r.random() < 0.3]
+    dealt = factorize.deal(spark.createDataFrame(rows, "user_idx int, item_idx int, rating double"), 100)
+    assert len(dealt.by_user.pieces) > 4 and len(dealt.by_item.pieces) > 4
+    made, by_piece, tables = [], factorize._by_piece, []
+
+    def looked_at(*args):
+        made.append(by_piece(*args))
+        return made[-1]
+
+    monkeypatch.setattr(factorize, "_by_piece", looked_at)
+    monkeypatch.setattr(factorize, "materialize", lambda df, name="table": tables.append(name))
+    losses = []
+    model = factorize.factorise(dealt, 3, 2, watch=lambda m: losses.append(factorize.loss(dealt, m).first()))
+    assert len(made) == 2 * 3 and not tables
+    for df in made:
+        assert df.rdd.getNumPartitions() > 4 and not any(w in df._jdf.queryExecution().executedPlan().toString() for w in ("Exchange", "Join"))
+    p, q = ({x.id: np.array(x.vector) for x in t.collect()} for t in (model.users, model.items))
+    mean = sum(x for *_, x in rows) / len(rows)
+    error = sum((x - mean - p[u] @ q[i]) ** 2 for u, i, x in rows)
+    assert losses[1].ratings == len(rows) and np.isclose(losses[1].rmse, (error / len(rows)) ** 0.5, rtol=1e-12)
+    assert np.isclose(losses[1].objective, error + 0.1 * sum(p[u] @ p[u] + q[i] @ q[i] for u, i, _ in rows), rtol=1e-12)
+
+
+def test_loss_of_rows_without_a_vector_or_a_rating(spark):
+    model = factorize.Factors(*[spark.createDataFrame([(3, [1.0, 2.0]), (70000, [0.5, 0.0])], "id int, vector array<double>")] * 2, 2.0, 0.1)
+    rows = spark.createDataFrame([(3, 3, 4.0), (3, 9, 1.0), (None, 70000, 5.0), (70000, 3, None)], "user_idx int, item_idx int, rating double")
+    got = factorize.loss(rows, model).first()
+    assert got.ratings == 4 and np.isclose(got.rmse, (9 / 4) ** 0.5)
+    assert np.isclose(got.objective, 9 + 0.1 * (2 * 5 + 0.25 + 2 * 5 + 0.25))
+    assert tuple(factorize.loss(rows.where("false"), model).first()) == (None, None, None)
+
+
 def test_interactions_are_written_once(spark, monkeypatch, tmp_path):
     written = watched(monkeypatch, recommend_queries)
     rows = spark.createDataFrame([("u", "i", t, 4.0, t, True) for t in range(10)], "user_id string, item_id string, timestamp_ms long, rating float, ordinal long, verified_purchase boolean")
