@@ -40,7 +40,7 @@ def with_text_columns(df: DataFrame, text_col: str, fields: list[StructField],
                 part = rest.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *(f.name for f in fields)])
 
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(giving_back(run), schema)
 
 
 def summed_vectors(df: DataFrame, size: int) -> np.ndarray:
@@ -87,3 +87,24 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
     if trim:
         trim(0)
+
+
+LARGE_GROUP = 1 << 20  # bytes of a group after which memory is given back: smaller ones leave little
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow, after which the worker's free memory goes back."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+    return task
+
+
+def giving_back_groups(run: Callable[[pa.Table], pa.Table]):
+    """``run`` for applyInArrow, after which the worker's free memory goes back if the group was large."""
+    def group(table: pa.Table) -> pa.Table:
+        out = run(table)
+        if table.nbytes > LARGE_GROUP:
+            give_back()
+        return out
+    return group

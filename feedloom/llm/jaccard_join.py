@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm import arrow
 from feedloom.llm import text as tx
 from feedloom.llm.components import components
 from feedloom.session import materialize
@@ -54,7 +55,14 @@ _DOC = np.uint64(0x9E3779B97F4A7C15)
 def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes, ascending within each text, and the first of each text (one more entry).
 
-    A-Z are lower-cased.  A text with fewer words than a shingle has its whole sequence as one."""
+    A-Z are lower-cased.  A text with fewer words than a shingle has its whole sequence as one.  Words
+    are hashed a small slice at a time: what that takes is many times the text."""
+    parts = [_shingles(column.slice(a, b - a), words) for a, b in tx.slices(column)]
+    sizes = np.concatenate([np.zeros(1, np.int64), *(np.diff(begin) for _, begin in parts)])
+    return np.concatenate([np.zeros(0, np.uint64), *(grams for grams, _ in parts)]), np.cumsum(sizes)
+
+
+def _shingles(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = tx.raw(column)
     data = tx.lower(data)
     starts, ends, first = tx.word_spans(data, offsets)
@@ -175,9 +183,9 @@ def profiles(df: DataFrame, id_col: str, text_col: str, words: int, percent: int
     own = _texts(df, id_col, text_col)
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, size // 6 // BUCKET_ROWS)  # some six bytes a word
-    asked = own.mapInArrow(_ask(buckets, words), _ASKED_SQL)
-    told = asked.groupBy("bucket").applyInArrow(_answer, _TOLD_SQL)
-    return materialize(told.groupBy("slice").applyInArrow(_tally(percent), _PROFILE_SQL), "shingle-profiles")
+    asked = own.mapInArrow(arrow.giving_back(_ask(buckets, words)), _ASKED_SQL)
+    told = asked.groupBy("bucket").applyInArrow(arrow.giving_back_groups(_answer), _TOLD_SQL)
+    return materialize(told.groupBy("slice").applyInArrow(arrow.giving_back_groups(_tally(percent)), _PROFILE_SQL), "shingle-profiles")
 
 
 # --- 3. clusters -------------------------------------------------------------------
@@ -418,7 +426,7 @@ _TILE = ["cluster", "first", "second", "block", "rep", "part", "hashes"]
 
 
 def _verified(tiles: DataFrame, percent: int) -> DataFrame:
-    return tiles.select(*_TILE).groupBy("cluster", "first", "second").applyInArrow(_verify(percent), "u long, v long")
+    return tiles.select(*_TILE).groupBy("cluster", "first", "second").applyInArrow(arrow.giving_back_groups(_verify(percent)), "u long, v long")
 
 
 def _blocks(weights: DataFrame, keys: list[str]) -> DataFrame:
@@ -477,17 +485,17 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = materialize(can.groupBy(*prints).agg(F.min("id").alias("rep")), "shingle-classes")
     # both sides grow with the corpus: a merge join at every size
     texts = _texts(df, id_col, text_col).join(classes.select(F.col("rep").alias("id")).hint("merge"), "id", "left_semi")
-    sets = materialize(texts.mapInArrow(_sets(words), "rep long, n long, hashes binary, vector binary").where("n > 0"), "shingle-sets")
+    sets = materialize(texts.mapInArrow(arrow.giving_back(_sets(words)), "rep long, n long, hashes binary, vector binary").where("n > 0"), "shingle-sets")
     buckets = max(16, (sets.agg(F.sum("n")).first()[0] or 0) // BUCKET_ROWS)
-    held = (sets.select("rep", "n", "hashes").mapInArrow(_ask_counts(buckets), _COUNTED_SQL)
-            .groupBy("bucket").applyInArrow(_answer_counts, _COUNTED_SQL))
-    keyed = (held.groupBy("slice").applyInArrow(_rarest(buckets, percent), "key long, rep long, n long")
+    held = (sets.select("rep", "n", "hashes").mapInArrow(arrow.giving_back(_ask_counts(buckets)), _COUNTED_SQL)
+            .groupBy("bucket").applyInArrow(arrow.giving_back_groups(_answer_counts), _COUNTED_SQL))
+    keyed = (held.groupBy("slice").applyInArrow(arrow.giving_back_groups(_rarest(buckets, percent)), "key long, rep long, n long")
              .repartition("key").sortWithinPartitions("key", "rep"))
-    edges = keyed.mapInArrow(_edges(percent), "u long, v long, check boolean").groupBy("u", "v").agg(F.min("check").alias("check"))
+    edges = keyed.mapInArrow(arrow.giving_back(_edges(percent)), "u long, v long, check boolean").groupBy("u", "v").agg(F.min("check").alias("check"))
     points = sets.select("rep", "n", "vector")
     left = points.select(F.col("rep").alias("u"), F.col("n").alias("n1"), F.col("vector").alias("vector1"))
     right = points.select(F.col("rep").alias("v"), F.col("n").alias("n2"), F.col("vector").alias("vector2"))
-    possible = edges.join(left, "u").join(right, "v").mapInArrow(_bounded(percent), "u long, v long")
+    possible = edges.join(left, "u").join(right, "v").mapInArrow(arrow.giving_back(_bounded(percent)), "u long, v long")
     clusters = components(possible).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     members = materialize(sets.select("rep", "n", "hashes").join(clusters, "rep"), "jaccard-members")
     parts = components(cluster_links(members, percent)).select(F.col("node").alias("rep"), "component")

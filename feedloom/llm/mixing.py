@@ -200,7 +200,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     placed = placed_documents(df, id_col, text_col, source_col, [id_col], weights, share, block_words,
                               shard_words, max_epochs, seed, store=True)
     schema = StructType([*placed.schema.fields, StructField("taken", LongType())])
-    return placed.mapInArrow(_taken(block_words), schema).select(
+    return placed.mapInArrow(arrow.giving_back(_taken(block_words)), schema).select(
         F.col("c_0").alias(id_col), "size", "source_size", "target", "taken")
 
 
@@ -239,5 +239,5 @@ def mixed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                     text = pa.array(out, pa.binary()).cast(pa.string()).cast(part.schema.field(at).type)
                     yield part.set_column(at, part.schema.field(at), text)
 
-    result = placed.mapInArrow(run, placed.select(*kept).schema)
+    result = placed.mapInArrow(arrow.giving_back(run), placed.select(*kept).schema)
     return result.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carry)])

@@ -118,7 +118,7 @@ def gram_counts(df: DataFrame, text_col: str = "text") -> np.ndarray:
                 counts += np.bincount(cells, minlength=BUCKETS)
         yield arrow.vector_parts(counts, 8)
 
-    vectors = df.select(F.col(f"`{text_col}`")).mapInArrow(run, arrow.VECTOR_SCHEMA)
+    vectors = df.select(F.col(f"`{text_col}`")).mapInArrow(arrow.giving_back(run), arrow.VECTOR_SCHEMA)
     return arrow.summed_vectors(vectors, BUCKETS)
 
 

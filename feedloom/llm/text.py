@@ -82,7 +82,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """``h`` with span_hash(h, a, b) a hash of data[a:b]; sums modulo 2**64."""
     h = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * powers(len(data))[0][:-1], out=h[1:])
+    own = h[1:]  # in place: eight bytes a byte of text are much
+    np.take(_BYTE_CODES, data, out=own, mode="clip")
+    own *= powers(len(data))[0][:-1]
+    np.cumsum(own, out=own)
     return h
 
 

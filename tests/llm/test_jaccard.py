@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -121,3 +122,23 @@ def test_components_of_chains_and_stars(spark):
     rows = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert rows == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 141)}, 300: 200, 200: 200}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_sets_do_not_depend_on_slices_and_take_memory_of_a_small_one():
+    r = random.Random(3)
+    pool = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(r.choices(pool, k=r.choice([0, 1, 2, 3, 400]))) for _ in range(6000)]
+    column = pa.array(texts, pa.large_string())
+    assert len("".join(texts)) > 2 * jj.tx.SLICE_BYTES
+    jj.tx.powers(jj.tx.SLICE_BYTES)  # a table that workers keep
+    tracemalloc.start()
+    grams, begin = jj.shingle_sets(column, 4)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 20 * column.nbytes
+    assert len(begin) == len(texts) + 1 and begin[0] == 0 and begin[-1] == len(grams)
+    for k in (0, 1, 2999, 5999):
+        alone, _ = jj.shingle_sets(column.slice(k, 1), 4)
+        assert alone.tolist() == grams[begin[k]:begin[k + 1]].tolist()
+    nothing, first = jj.shingle_sets(column.slice(0, 0), 4)
+    assert not len(nothing) and first.tolist() == [0]
