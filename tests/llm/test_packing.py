@@ -1,13 +1,18 @@
+import gc
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from feedloom.llm import packing
+from feedloom.llm import text as tx
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -116,3 +121,51 @@ def test_never_more_sequences_than_best_fit(lengths):
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 6), min_size=1, max_size=5))
 def test_the_bound_is_one(histogram):
     assert packing.sequences_needed(histogram, 40) <= sum(times for _, times in packing.best_plan(histogram, 40))
+
+
+def words_of(text):
+    data, offsets = tx.raw(pa.array([text], pa.large_string()))
+    starts, ends, _ = tx.word_spans(data, offsets)
+    return data, starts, ends
+
+
+def test_runs_met_again_are_not_encoded_again_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 64)
+    memo, asked = packing.WordIds(PATH), []
+    encode = memo._run_ids
+    monkeypatch.setattr(memo, "_run_ids", lambda data, starts, ends: asked.extend(
+        data[a:b].tobytes().decode() for a, b in zip(starts, ends)) or encode(data, starts, ends))
+    common = "The QUICK é, brown fox."
+    letters = "abcdefghijklmnopqrst"
+    for n in range(12):
+        text = " ".join([common] + [f"{letters[n]}{x}{y}" for x in letters[:4] for y in letters[:5]])
+        ids, edges = memo.encode(*words_of(text))
+        assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+        assert edges[-1] == len(ids) and len(edges) == len(text.split()) + 1
+        assert len(memo.known) <= 64
+    assert [asked.count(w) for w in ("the", "quick", "é", ",", "brown", "fox", ".")] == [1] * 7  # parts of words, lower-cased
+
+
+def test_a_known_run_takes_few_bytes():
+    r = random.Random(5)
+    runs = {"".join(r.choices("abcdefghij", k=9)) for _ in range(30000)}
+    memo = packing.WordIds(PATH)
+    given = words_of(" ".join(sorted(runs)))
+    tracemalloc.start()
+    memo.encode(*given)
+    gc.collect()
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 100 * len(runs)
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_runs_have_the_ids_of_the_whole_text(direct, monkeypatch):
+    text = ("İx É × ÷a À-b ß ẞ éÀÞ. THE. the, <|ENDOFTEXT|>x DON'T a'b a<b x1 1x é\u0301 E\u0301 ...ñ ¿qué? «x» Ã Â Ã© )a a) "
+            "語 héLLO—wörld ÿŸ ... .a. a.b ,, ")
+    memo = packing.WordIds(PATH)
+    assert memo.spelled is not None
+    if not direct:
+        memo.spelled = None
+    ids, _ = memo.encode(*words_of(text))
+    assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
