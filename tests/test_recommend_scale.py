@@ -4,7 +4,7 @@ import numpy as np
 
 from feedloom.operators import label
 from feedloom.plans import contract_queries, queries, recommend_queries
-from feedloom.recommend import content, factorize, item_item, pairs, popularity
+from feedloom.recommend import content, factorize, item_item, pairs, popularity, split
 from feedloom.session import materialize
 
 PAIR = "user_id string, item_id string"
@@ -149,3 +149,80 @@ def test_stored_tables_are_written_where_they_stay(spark, monkeypatch):
 def test_labels_are_added_after_the_sort(spark):
     rows = spark.createDataFrame([("u", "i", 5.0, 1000, 1)], "user_id string, item_id string, rating float, timestamp_ms long, ordinal long").selectExpr("*", "timestamp_millis(timestamp_ms) as event_time")
     assert plan(label.label_interactions(rows)).startswith("Project")
+
+
+def test_factorised_metrics_clean_and_judge_what_is_written_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(recommend_queries, "materialize", lambda df, name="table": written.append(name) or materialize(df, name))
+    r = np.random.default_rng(8)
+    rows = [(f"u{r.integers(12)}", f"i{r.integers(9)}", float(r.integers(1, 6)), 1000 + t, t) for t in range(200)]
+    rows = spark.createDataFrame(rows, "user_id string, item_id string, rating float, timestamp_ms long, ordinal long")
+    monkeypatch.setattr(recommend_queries, "lines_interactions", lambda *_: rows)
+    got = recommend_queries.q_factorised_metrics("lines")(spark, "").collect()
+    assert written.count("lines-interactions") == 1 and written.count("relevant") == 1
+    relevant = split.held_out_relevance(split.chronological_split(rows))
+    assert {(x.k, x.users) for x in got} == {(k, relevant.select("user_id").distinct().count()) for k in recommend_queries.KS}
+
+
+def test_users_meet_only_items_in_their_direction(spark, monkeypatch):
+    """Items of one length, which lengths part in nothing: users of like directions are scored against few of them."""
+    r = np.random.default_rng(9)
+    towards = np.repeat(factorize._directions(r.normal(size=(6, 4))), 50, axis=0) + r.normal(size=(300, 4)) * 0.02
+    items, met = factorize._directions(r.normal(size=(3000, 4))), []
+    monkeypatch.setattr(factorize, "SEEDS", 32)
+
+    class Ends:
+        __array_ufunc__ = None
+
+        def __init__(self, a):
+            self.a = a
+
+        def __rmatmul__(self, x):
+            return x @ self.a
+
+        def __getitem__(self, key):
+            met.append(len(key[1]))
+            return self.a[key]
+
+    groups = factorize._alike(towards)
+    assert sorted(np.concatenate(groups)) == list(range(300)) and max(map(len, groups)) <= factorize.PEOPLE
+    for who in groups:
+        p, seen = towards[who], r.integers(0, 3000, (2, 500))
+        seen[0] %= len(who)
+        u, i, product = factorize._scan(p, items, Ends(items.T), np.linalg.norm(items, axis=1), np.full(len(who), -np.inf), seen[0], seen[1], 5)
+        scores = (p[:, None] * items).sum(axis=2)
+        scores[seen[0], seen[1]] = -np.inf
+        want = np.argsort(-scores, axis=1, kind="stable")[:, :5]
+        assert sorted(zip(u, i)) == sorted((n, x) for n, xs in enumerate(want) for x in xs)
+        assert np.array_equal(product, scores[u, i])
+    assert sum(met) < len(groups) * 3000 / 2
+
+
+def test_users_of_like_directions_share_a_block(spark):
+    r = np.random.default_rng(10)
+    users = [(n, [float(x) for x in v]) for n, v in enumerate(r.normal(size=(400, 3)))] + [(400, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(users, "id int, vector array<double>")
+    blocks = {}
+    for x in factorize._by_direction(df, 3, 50).collect():
+        blocks.setdefault(x.r, []).append((x.id, x.vector))
+    assert sorted(y for x in blocks.values() for y in x) == users
+    assert 8 <= len(blocks) <= 16 and min(blocks) == 0 and max(blocks) == len(blocks) - 1 and max(map(len, blocks.values())) <= 100
+    near = [x for x in blocks.values() if len(x) > 1]
+    inside = np.mean([np.linalg.norm(factorize._directions(np.array([v for _, v in x])).mean(axis=0)) for x in near])
+    assert inside > 0.6  # of users dealt by id: about 0.15
+    one = factorize._by_direction(df.where("false"), 3, 50)
+    assert one.collect() == []
+
+
+def test_equal_vectors_and_vectors_without_length(spark):
+    """Every item ties with every other: the first by index go on, and of a cell no more than k a user."""
+    tables = [spark.createDataFrame([(n, v) for n in range(m)], "id int, vector array<double>") for m, v in ((90, [0.0, 0.0]), (70, [0.5, 0.25]))]
+    for users, items in (tables, tables[::-1]):
+        got = factorize.recommend_factorised(factorize.Factors(users, items, 3.0, 0.1), spark.createDataFrame([(1, 0), (1, 2)], "user_idx int, item_idx int"),
+                                             users.select(users.id.alias("user_idx")), 3, 16).collect()
+        lists = {}
+        for x in got:
+            lists.setdefault(x.user_idx, {})[x.rank] = x.item_idx
+        assert lists == {u: dict(zip((1, 2, 3), (1, 3, 4) if u == 1 else (0, 1, 2))) for u in range(users.count())}
+    found = factorize._scan(np.zeros((40, 2)), np.ones((9000, 2)), np.ones((2, 9000)), np.full(9000, 2**0.5), np.full(40, -np.inf), np.empty(0, int), np.empty(0, int), 4)
+    assert len(found[0]) == 40 * 4 and set(found[1]) == {0, 1, 2, 3}
